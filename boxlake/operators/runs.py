@@ -103,9 +103,16 @@ def plateau_lr(
     cuts = F.floor((F.col("until") - F.col("since") - 1) / F.lit(patience + 1))
     earlier = order.rowsBetween(W.unboundedPreceding, -1)
     spans = spans.withColumn("cuts_before", F.coalesce(F.sum(cuts).over(earlier), F.lit(0).cast("long")))
-    # every epoch lies in exactly one span, so the spans give the epochs back without a range join
-    epochs = spans.select(
-        "run_id", "since", "cuts_before", F.explode(F.sequence(F.col("since"), F.col("until") - 1)).alias("epoch")
+    # every epoch lies in exactly one span, so the spans give the epochs back without a range join;
+    # in two steps, so that a long span never becomes one long array
+    size = F.lit(EPOCHS_PER_BLOCK)
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("until") - F.col("since") - 1) / size))
+    first = F.col("since") + F.col("block") * size
+    final = F.least(first + size, F.col("until").cast("long")) - 1
+    epochs = (
+        spans.select("run_id", "since", "until", "cuts_before", F.explode(blocks).alias("block"))
+        .select("run_id", "since", "cuts_before", F.explode(F.sequence(first, final)).alias("epoch"))
+        .withColumn("epoch", F.col("epoch").cast("int"))
     )
     done = F.col("cuts_before") + F.floor((F.col("epoch") - F.col("since")) / F.lit(patience + 1))
     steps = F.least(done, F.lit(_steps_to_floor(start, factor, floor, eps)))
