@@ -5,10 +5,14 @@ The SQL texts run unchanged in Spark and in other ANSI engines: table names are
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxlake.functions.pixels import encode_png
 from boxlake.operators.anchors import N_ANCHORS
+from boxlake.operators.annotations import parse_labels
 from boxlake.operators.batching import repartition_batch
 
 IMAGES = """
@@ -60,6 +64,22 @@ select user_id as run_id, cast(row_number() over (partition by user_id order by
 from {events}
 """
 
+UPLOADS = """
+select event_id as seq, case when event_type = 'view' then '' else concat('up/img_', cast(user_id as string), '.jpg') end as filename,
+ case when event_type = 'click' then 'text/plain' else 'image/jpeg' end as content_type, value
+from {events}
+"""
+
+# Old-layout history rows; "purchase" rows already carry the two paths of the new layout.
+LEGACY_HISTORY = """
+select cast(ts as string) as timestamp, concat('img_', cast(event_id as string), '.jpg') as image_name, '1' as nb_plates,
+ '[]' as detections, 'success' as status,
+ case event_type when 'click' then '/9j/4AAQ' when 'view' then 'not base64!' when 'signup' then 'aGVsbG8='
+  when 'purchase' then concat('images/2026/', cast(event_id as string), '_orig.jpg') else '' end as original_image_path,
+ case when event_type = 'purchase' then concat('images/2026/', cast(event_id as string), '_ann.jpg') end as annotated_image_path
+from {events}
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -70,6 +90,38 @@ def view(spark: SparkSession, sf_dir: str, text: str, name: str) -> DataFrame:
     return spark.sql(text, **{name: table(spark, sf_dir, name)})
 
 
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, UPLOADS, "events")
+
+
+def legacy_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, LEGACY_HISTORY, "events")
+
+
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One PNG per embedding: its 64 numbers as gray cells of an 8 x 8 picture, enlarged by row.
+
+    Every eleventh file is cut short, so that decoding has failures to report.
+    """
+    @F.arrow_udf("binary")
+    def paint(cells: pa.Array, across: pa.Array, down: pa.Array) -> pa.Array:
+        out = []
+        for values, x, y in zip(cells.to_pylist(), across.to_pylist(), down.to_pylist()):
+            gray = np.clip((np.array(values) + 0.5) * 255.0, 0, 255).astype(np.uint8).reshape(8, 8)
+            pixels = np.kron(gray, np.ones((y, x), np.uint8))
+            out.append(encode_png(np.repeat(pixels[:, :, None], 3, axis=2)))
+        return pa.array(out, pa.binary())
+
+    rows = repartition_batch(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    across, down = (F.col("vec_id") % 5 + 2).cast("int"), (F.col("vec_id") % 3 + 2).cast("int")
+    content = paint("embedding", across, down)
+    cut = F.when(F.col("vec_id") % 11 == 0, F.substring("content", 1, 60)).otherwise(F.col("content"))
+    return rows.select("vec_id", content.alias("content")).select(
+        "vec_id", F.concat(F.lit("vec_"), F.col("vec_id").cast("string"), F.lit(".png")).alias("filename"),
+        cut.alias("content"),
+    )
+
+
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, IMAGES, "orders")
 
@@ -78,6 +130,12 @@ def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, LABEL_LINES, "lineitem")
 
 
+def labels(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Parsed boxes; `spread` before work that is heavy per box, since a table may be one file."""
+    lines = label_lines(spark, sf_dir)
+    return parse_labels(repartition_batch(lines) if spread else lines)
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, HISTORY, "events")
 

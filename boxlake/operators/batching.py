@@ -136,14 +136,15 @@ def pad_targets(images: DataFrame, labels: DataFrame, on: Sequence[str] = KEYS,
     held = first_objects(labels, on, n).groupBy(*on).agg(
         F.array_sort(F.collect_list(F.struct("slot", *BOX_FIELDS))).alias("boxes")
     )
-    # named first: inside a lambda an inlined array would be built again for every slot
+    # Named first: inside a lambda an inlined array would be built again for every slot. The names differ
+    # from those of the result, which would hide them inside the lambdas.
     lists = images.select(*on).join(held, on, "left").select(
         *on,
-        F.transform("boxes", lambda b: b["class_id"]).alias("cls"),
-        F.transform("boxes", lambda b: F.array(b["cx"], b["cy"], b["w"], b["h"])).alias("reg"),
-        F.transform("boxes", lambda b: F.lit(1.0)).alias("mask"),
+        F.transform("boxes", lambda b: b["class_id"]).alias("classes"),
+        F.transform("boxes", lambda b: F.array(b["cx"], b["cy"], b["w"], b["h"])).alias("corners"),
+        F.transform("boxes", lambda b: F.lit(1.0)).alias("marks"),
     )
-    cls, reg, mask = pad_column(F.col("cls"), F.col("reg"), F.col("mask"), n)
+    cls, reg, mask = pad_column(F.col("classes"), F.col("corners"), F.col("marks"), n)
     return lists.select(*on, cls.alias("cls"), reg.alias("reg"), mask.alias("mask"))
 
 

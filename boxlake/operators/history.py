@@ -140,12 +140,13 @@ def payload_bytes(text: Column) -> Column:
 def migrate_history(legacy: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Old six-column rows (last field a base64 image) to the seven-column layout.
 
-    Takes rows read with the seven-column schema. A row that already has a seventh field is in the
-    new layout and keeps both paths. Returns the history and an artifact table (path, content) for
+    Takes rows read with the seven-column schema. A row that already has a seventh field, or a sixth
+    that is a stored path, is in the new layout and keeps its paths. Returns the history and an artifact table (path, content) for
     the images taken out of the rows; on equal paths the last row wins.
     """
     has_seven = F.col("annotated_image_path").isNotNull()
-    content = F.when(~has_seven, payload_bytes(F.col("original_image_path")))
+    is_path = F.coalesce(F.col("original_image_path").startswith("images/"), F.lit(False))
+    content = F.when(~has_seven & ~is_path, payload_bytes(F.col("original_image_path")))
     stamp = F.date_format(F.try_to_timestamp("timestamp"), "yyyyMMdd_HHmmss")
     folder = F.concat(F.lit("images/runs/migrated"), F.coalesce(F.concat(F.lit("_"), stamp), F.lit("_migrated")))
     target = F.concat(folder, F.lit("/migrated_ann.jpg"))
@@ -153,7 +154,8 @@ def migrate_history(legacy: DataFrame) -> tuple[DataFrame, DataFrame]:
     empty = F.lit("")
     history = staged.select(
         "timestamp", "image_name", "nb_plates", "detections", "status",
-        F.when(has_seven, F.coalesce("original_image_path", empty)).otherwise(empty).alias("original_image_path"),
+        F.when(has_seven | is_path, F.coalesce("original_image_path", empty)).otherwise(empty)
+        .alias("original_image_path"),
         F.when(has_seven, F.col("annotated_image_path"))
         .when(F.col("content").isNotNull(), F.col("target")).otherwise(empty).alias("annotated_image_path"),
     )

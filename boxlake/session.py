@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,7 +29,24 @@ def create_session(app_name: str = "boxlake", master: str | None = None, **conf:
         builder = builder.master(master)
     for key, value in {**RECOMMENDED, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers of a session, once.
+
+    Arrow functions need it there; a cluster that has it installed can do without.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "_boxlake_shipped", False):
+        package = Path(__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="boxlake-")) / "boxlake.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._boxlake_shipped = True
+    return spark
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
