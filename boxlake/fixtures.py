@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from boxlake.functions.pixels import encode_png
 from boxlake.operators.anchors import N_ANCHORS
 from boxlake.operators.annotations import parse_labels
-from boxlake.operators.batching import repartition_batch
+from boxlake.operators.batching import spread_scan
 
 IMAGES = """
 select concat('img_', cast(o_orderkey as string)) as image_name,
@@ -46,6 +46,16 @@ PRED_COLUMNS = {
     "dh": "cast(({a} * 5 + {k}) % 61 as double) / 10 - 3",
 }
 
+# The same formulas over arrays.
+PRED_ARRAYS = {
+    "logit0": lambda k, a: (k * 31 + a * 17) % 997 / 100 - 4,
+    "logit1": lambda k, a: (k * 13 + a * 29) % 991 / 100 - 5,
+    "dx": lambda k, a: (a * 7 + k) % 41 / 10 - 2,
+    "dy": lambda k, a: (a * 11 + k) % 41 / 10 - 2,
+    "dw": lambda k, a: (a * 3 + k) % 61 / 10 - 2,
+    "dh": lambda k, a: (a * 5 + k) % 61 / 10 - 3,
+}
+
 HISTORY = """
 select ts as timestamp, concat('img_', cast(user_id as string), '.jpg') as image_name,
  cast(case when event_type = 'error' then 0 else event_id % 3 end as int) as nb_plates,
@@ -112,7 +122,8 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             out.append(encode_png(np.repeat(pixels[:, :, None], 3, axis=2)))
         return pa.array(out, pa.binary())
 
-    rows = repartition_batch(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    paint = paint.asNondeterministic()
+    rows = spread_scan(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     across, down = (F.col("vec_id") % 5 + 2).cast("int"), (F.col("vec_id") % 3 + 2).cast("int")
     content = paint("embedding", across, down)
     cut = F.when(F.col("vec_id") % 11 == 0, F.substring("content", 1, 60)).otherwise(F.col("content"))
@@ -127,13 +138,12 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, LABEL_LINES, "lineitem")
+    keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    return spark.sql(LABEL_LINES, lineitem=spread_scan(keys))
 
 
-def labels(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """Parsed boxes; `spread` before work that is heavy per box, since a table may be one file."""
-    lines = label_lines(spark, sf_dir)
-    return parse_labels(repartition_batch(lines) if spread else lines)
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_labels(label_lines(spark, sf_dir))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +156,7 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long predictions: one row per image and anchor."""
-    rows = repartition_batch(table(spark, sf_dir, "customer").select("c_custkey")).select(
+    rows = spread_scan(table(spark, sf_dir, "customer").select("c_custkey")).select(
         "c_custkey", F.explode(F.sequence(F.lit(0), F.lit(N_ANCHORS - 1))).alias("anchor_id")
     )
     values = [F.expr(t.format(k="c_custkey", a="anchor_id")).alias(n) for n, t in PRED_COLUMNS.items()]
@@ -156,13 +166,19 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same predictions as a model returns them: one row per image, flat arrays."""
-    def flat(names: list[str]) -> str:
-        cells = ", ".join(PRED_COLUMNS[n].format(k="c_custkey", a="a") for n in names)
-        return f"flatten(transform(sequence(0, {N_ANCHORS - 1}), a -> array({cells})))"
-
-    return repartition_batch(table(spark, sf_dir, "customer").select("c_custkey")).select(
+    """The same predictions as a model returns them: one row per image, flat arrays made in a Python worker."""
+    def fill(names: list[str]):
+        @F.arrow_udf("array<double>")
+        def run(keys: pa.Array) -> pa.Array:
+            k, a = keys.to_numpy(zero_copy_only=False)[:, None], np.arange(N_ANCHORS)
+            cells = np.stack([PRED_ARRAYS[n](k, a) for n in names], axis=2)
+            starts = np.arange(len(keys) + 1) * (N_ANCHORS * len(names))
+            return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(cells.ravel()))
+
+        return run.asNondeterministic()(F.col("c_custkey"))
+
+    return spread_scan(table(spark, sf_dir, "customer").select("c_custkey")).select(
         F.concat(F.lit("img_"), F.col("c_custkey").cast("string")).alias("image_name"),
-        F.expr(flat(["logit0", "logit1"])).alias("logits"),
-        F.expr(flat(["dx", "dy", "dw", "dh"])).alias("deltas"),
+        fill(["logit0", "logit1"]).alias("logits"),
+        fill(["dx", "dy", "dw", "dh"]).alias("deltas"),
     )

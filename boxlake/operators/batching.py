@@ -22,6 +22,15 @@ def repartition_batch(frame: DataFrame) -> DataFrame:
     return frame.repartition(max(1, frame.sparkSession.sparkContext.defaultParallelism))
 
 
+def spread_scan(frame: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores; a larger one is left as it is.
+
+    For frames that only scan and project: the number of splits is then known without running anything.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return repartition_batch(frame) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def spread_by(frame: DataFrame, on: Sequence[str]) -> DataFrame:
     """Hash-partition by `on` into at least one partition per core.
 
@@ -138,7 +147,7 @@ def pad_targets(images: DataFrame, labels: DataFrame, on: Sequence[str] = KEYS,
     )
     # Named first: inside a lambda an inlined array would be built again for every slot. The names differ
     # from those of the result, which would hide them inside the lambdas.
-    lists = images.select(*on).join(held, on, "left").select(
+    lists = spread_by(images.select(*on), on).join(held, on, "left").select(
         *on,
         F.transform("boxes", lambda b: b["class_id"]).alias("classes"),
         F.transform("boxes", lambda b: F.array(b["cx"], b["cy"], b["w"], b["h"])).alias("corners"),

@@ -76,20 +76,41 @@ def candidates(preds: DataFrame, threshold: float = SCORE_THRESHOLD) -> DataFram
     return score_filter(decode_rows(preds), threshold).select(*rest, "score", *CORNERS)
 
 
-def _keep_greedily(boxes: np.ndarray, threshold: float, limit: int) -> list[int]:
-    """Positions kept of boxes in rank order (the rows of a 4-column array)."""
-    x1, y1, x2, y2 = boxes
-    area = (x2 - x1) * (y2 - y1)
-    order = np.arange(len(x1))
-    kept: list[int] = []
-    while order.size and len(kept) < limit:
-        best, order = order[0], order[1:]
-        kept.append(int(best))
-        iw = np.minimum(x2[order], x2[best]) - np.maximum(x1[order], x1[best])
-        ih = np.minimum(y2[order], y2[best]) - np.maximum(y1[order], y1[best])
-        inter = np.maximum(iw, 0.0) * np.maximum(ih, 0.0)
-        union = area[order] + area[best] - inter
-        order = order[inter / np.maximum(union, G.EPSILON) <= threshold]
+# Images whose suppression steps run as one array operation.
+IMAGES_PER_STEP = 32
+
+
+def keep_greedily(cells: np.ndarray, starts: np.ndarray, threshold: float, limit: int) -> list[np.ndarray]:
+    """Positions kept per image of ranked corner boxes.
+
+    `cells` is [4, boxes] with the boxes of image i at starts[i]:starts[i + 1]. Every step keeps the
+    best box left of each of a few images and drops what overlaps it.
+    """
+    kept: list[np.ndarray] = []
+    counts = np.diff(starts)
+    for first in range(0, len(counts), IMAGES_PER_STEP):
+        held = counts[first : first + IMAGES_PER_STEP]
+        rows, width = np.arange(len(held)), int(held.max(initial=0))
+        alive = np.arange(width) < held[:, None]
+        boxes = np.zeros((4, len(held), width))
+        boxes[:, alive] = cells[:, starts[first] : starts[first + len(held)]]
+        x1, y1, x2, y2 = boxes
+        area = (x2 - x1) * (y2 - y1)
+        chosen = np.full((len(held), limit), -1, np.int32)
+        for step in range(limit if width else 0):
+            best = alive.argmax(axis=1)
+            open_rows = alive[rows, best]
+            if not open_rows.any():
+                break
+            chosen[open_rows, step] = best[open_rows]
+            bx1, by1, bx2, by2 = boxes[:, rows, best, None]
+            iw = np.minimum(x2, bx2) - np.maximum(x1, bx1)
+            ih = np.minimum(y2, by2) - np.maximum(y1, by1)
+            inter = np.maximum(iw, 0.0) * np.maximum(ih, 0.0)
+            union = area + area[rows, best, None] - inter
+            alive &= inter / np.maximum(union, G.EPSILON) <= threshold
+            alive[rows, best] = False
+        kept.extend(row[row >= 0] for row in chosen)
     return kept
 
 
@@ -103,14 +124,12 @@ def kept_positions(ranked: Column, threshold: float, limit: int) -> Column:
 
     @F.arrow_udf("array<int>")
     def keep(x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa.Array) -> pa.Array:
-        ends = x1.offsets.to_numpy()
         # .values ignores the slice that the offsets already describe
         cells = np.stack([c.values.to_numpy(zero_copy_only=False) for c in (x1, y1, x2, y2)])
-        return pa.array(
-            [_keep_greedily(cells[:, a:b], threshold, limit) for a, b in zip(ends[:-1], ends[1:])],
-            pa.list_(pa.int32()),
-        )
+        return pa.array(keep_greedily(cells, x1.offsets.to_numpy(), threshold, limit), pa.list_(pa.int32()))
 
+    # marked so that Spark never runs it a second time below a pushed-down filter
+    keep = keep.asNondeterministic()
     return keep(*[ranked[n] for n in CORNERS])
 
 
@@ -217,15 +236,13 @@ def nms_any(
     )
 
 
-def detection_arrays(
-    logits: np.ndarray, deltas: np.ndarray, score_threshold: float, nms_threshold: float, limit: int
-) -> tuple[np.ndarray, ...]:
-    """Detections of one image from its [anchors, 2] logits and [anchors, 4] deltas.
+def ranked_boxes(logits: np.ndarray, deltas: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
+    """Anchors, scores and corners of the candidates of one image, best first.
 
-    Returns anchor numbers, scores and a 4-column corner array in rank order.
+    Takes its [anchors, 2] logits and [anchors, 4] deltas.
     """
     score = 1.0 / (1.0 + np.exp(logits[:, 0] - logits[:, 1]))
-    passed = np.flatnonzero(score > score_threshold)
+    passed = np.flatnonzero(score > threshold)
     order = passed[np.lexsort((passed, -score[passed]))]
     anchor, moved = anchor_grid()[order], deltas[order]
     weights = np.array(G.CODER_WEIGHTS)
@@ -233,8 +250,13 @@ def detection_arrays(
     growth = np.exp(np.minimum(moved[:, 2:], G.MAX_SIZE_DELTA) / weights[2:])
     half = np.clip(growth * anchor[:, 2:], G.MIN_DECODED_SIZE, 1.0) / 2.0
     corners = np.clip(np.concatenate([centre - half, centre + half], axis=1), 0.0, 1.0)
-    kept = _keep_greedily(np.ascontiguousarray(corners.T), nms_threshold, limit)
-    return order[kept], score[order[kept]], corners[kept]
+    return order, score[order], corners.T
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """The lists of a list column as views of its values."""
+    cells = column.values.to_numpy(zero_copy_only=False)
+    return np.split(cells, column.offsets.to_numpy()[1:-1]) if len(column) else []
 
 
 def detect(
@@ -246,26 +268,23 @@ def detect(
 
     @F.arrow_udf(DETECTED)
     def run(logit_lists: pa.Array, delta_lists: pa.Array) -> pa.Array:
-        starts = logit_lists.offsets.to_numpy()
-        delta_starts = delta_lists.offsets.to_numpy()
-        logit_cells = logit_lists.values.to_numpy(zero_copy_only=False)
-        delta_cells = delta_lists.values.to_numpy(zero_copy_only=False)
-        found = []
-        for i in range(len(logit_lists)):
-            one = logit_cells[starts[i]:starts[i + 1]].reshape(-1, 2)
-            moved = delta_cells[delta_starts[i]:delta_starts[i + 1]].reshape(-1, 4)
-            found.append(detection_arrays(one, moved, score_threshold, nms_threshold, limit))
-        counts = [len(f[0]) for f in found]
-        corners = np.concatenate([f[2] for f in found]) if found else np.empty((0, 4))
-        fields = [
-            pa.array(np.concatenate([f[0] for f in found]).astype("int32") if found else [], pa.int32()),
-            pa.array(np.concatenate([f[1] for f in found]) if found else [], pa.float64()),
-            *[pa.array(np.ascontiguousarray(corners[:, j])) for j in range(4)],
+        ranked = [
+            ranked_boxes(one.reshape(-1, 2), moved.reshape(-1, 4), score_threshold)
+            for one, moved in zip(_lists(logit_lists), _lists(delta_lists))
         ]
+        starts = np.cumsum([0] + [len(ids) for ids, _, _ in ranked])
+        cells = np.concatenate([np.empty((4, 0)), *[c for _, _, c in ranked]], axis=1)
+        kept = keep_greedily(cells, starts, nms_threshold, limit)
+        places = np.concatenate([np.empty(0, int), *[start + k for start, k in zip(starts, kept)]])
+        ids = np.concatenate([np.empty(0, int), *[i for i, _, _ in ranked]])[places]
+        scores = np.concatenate([np.empty(0), *[v for _, v, _ in ranked]])[places]
+        fields = [pa.array(ids, pa.int32()), pa.array(scores), *[pa.array(c[places]) for c in cells]]
         rows = pa.StructArray.from_arrays(fields, names=["anchor_id", "score", *CORNERS])
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), rows)
+        ends = np.cumsum([0] + [len(k) for k in kept])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
-    return run(F.transform(logits, lambda v: v.cast("double")), F.transform(deltas, lambda v: v.cast("double")))
+    run = run.asNondeterministic()  # never run twice below a pushed-down filter
+    return run(logits.cast("array<double>"), deltas.cast("array<double>"))
 
 
 def predict(

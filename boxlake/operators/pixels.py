@@ -45,6 +45,11 @@ def _failed(error: Exception | str) -> dict:
     return {"width": None, "height": None, "rgb": None, "error": str(error)}
 
 
+def _once(udf):
+    """Mark a column function so that Spark never runs it a second time below a pushed-down filter."""
+    return udf.asNondeterministic()
+
+
 def decode_rgb(content: Column) -> Column:
     """Image bytes to a struct of width, height, rgb and error; a bad image is a row, not a failed job."""
     @F.arrow_udf(PIXELS)
@@ -57,7 +62,7 @@ def decode_rgb(content: Column) -> Column:
 
         return pa.array([one(c) for c in batch], _PIXELS_ARROW)
 
-    return run(content)
+    return _once(run)(content)
 
 
 def pixels_of_image_source(image: Column) -> Column:
@@ -73,7 +78,7 @@ def pixels_of_image_source(image: Column) -> Column:
             out.append(_pixel_item(P.to_rgb(cells) if c < 3 else cells[:, :, 2::-1]))
         return pa.array(out, _PIXELS_ARROW)
 
-    return run(image["width"], image["height"], image["nChannels"], image["data"])
+    return _once(run)(image["width"], image["height"], image["nChannels"], image["data"])
 
 
 def _map_pixels(work: Callable[[np.ndarray], object], returns, arrow_type: pa.DataType) -> Callable[[Column], Column]:
@@ -89,7 +94,7 @@ def _map_pixels(work: Callable[[np.ndarray], object], returns, arrow_type: pa.Da
 
         return pa.array([one(c) for c in batch], arrow_type)
 
-    return run
+    return _once(run)
 
 
 def letterbox_resize(pixels: Column, size: int = IMAGE_SIZE, as_png: bool = False) -> Column:
@@ -124,7 +129,7 @@ def normalize_tensor(image: Column, size: int = IMAGE_SIZE) -> Column:
 
         return pa.array([one(c) for c in batch], pa.list_(pa.float32()))
 
-    return run(image)
+    return _once(run)(image)
 
 
 def encode_png(pixels: Column) -> Column:
@@ -142,7 +147,7 @@ def paint_boxes(pixels: Column, detections: Column, colour=BOX_COLOUR, width: in
             out.append(None if one is None else P.encode_png(P.paint_boxes(one, corners, colour, width)))
         return pa.array(out, pa.binary())
 
-    return run(pixels, detections)
+    return _once(run)(pixels, detections)
 
 
 def annotate_plan(rows: DataFrame) -> DataFrame:

@@ -44,13 +44,13 @@ VIEWS = {
     "fx_label_lines": X.LABEL_LINES.format(lineitem="lineitem"),
     "fx_labels": """
 select * from (
- select image_name, try_cast(p[1] as float) as class_id, try_cast(p[2] as float)::double as cx, try_cast(p[3] as float)::double as cy,
+ select image_name, try_cast(p[1] as float)::double as class_id, try_cast(p[2] as float)::double as cx, try_cast(p[3] as float)::double as cy,
   try_cast(p[4] as float)::double as w, try_cast(p[5] as float)::double as h
  from (select image_name, string_split(value, ' ') as p from fx_label_lines where value <> '') s) t
 where class_id is not null and cx is not null and cy is not null and w is not null and h is not null
 """,
     "fx_ranked_labels": """
-select *, row_number() over (partition by image_name order by class_id, cx, cy, w, h) - 1 as pos from fx_labels
+select *, row_number() over (partition by image_name order by class_id, cx, cy, w, h)::int - 1 as pos from fx_labels
 """,
     "fx_letterbox": """
 select *, cast(floor((256 - new_w) / 2.0) as double) / 256 as pad_x, cast(floor((256 - new_h) / 2.0) as double) / 256 as pad_y from (
@@ -224,7 +224,7 @@ def _(spark, d):
 
 
 @query("join_images_boxes", """
-select i.image_name, i.split_name, count(l.cx) as n_boxes, round(coalesce(sum(l.cx), 0), 6) as sum_cx, round(coalesce(sum(l.h), 0), 6) as sum_h
+select i.image_name, i.split_name, count(l.cx)::int as n_boxes, round(coalesce(sum(l.cx), 0), 6) as sum_cx, round(coalesce(sum(l.h), 0), 6) as sum_h
 from fx_images i left join fx_labels l using (image_name) group by 1, 2""")
 def _(spark, d):
     joined = A.join_images_boxes(X.images(spark, d), A.build_bboxes(X.labels(spark, d), ON), ON)
@@ -239,7 +239,7 @@ def _(spark, d):
 
 
 @query("nulls_to_empty", """
-select i.image_name, count(l.cx) as n_cls, count(l.cx) as n_reg, count(l.cx) as n_mask
+select i.image_name, count(l.cx)::int as n_cls, count(l.cx)::int as n_reg, count(l.cx)::int as n_mask
 from fx_images i left join fx_labels l using (image_name) group by 1""")
 def _(spark, d):
     arrays = A.build_bboxes(X.labels(spark, d), ON)
@@ -391,7 +391,7 @@ def _(spark, d):
 
 
 @query("pad_targets", """
-select i.image_name, s.slot, round(coalesce(l.class_id, 0)::double, 6) as cls, round(coalesce(l.cx, 0), 6) as cx, round(coalesce(l.cy, 0), 6) as cy,
+select i.image_name, s.slot::int as slot, round(coalesce(l.class_id, 0)::double, 6) as cls, round(coalesce(l.cx, 0), 6) as cx, round(coalesce(l.cy, 0), 6) as cy,
  round(coalesce(l.w, 0), 6) as w, round(coalesce(l.h, 0), 6) as h, case when l.cx is null then 0.0::double else 1.0::double end as mask
 from fx_images i cross join range(20) s(slot) left join fx_ranked_labels l on l.image_name = i.image_name and l.pos = s.slot""")
 def _(spark, d):
@@ -435,7 +435,7 @@ def _(spark, d):
     return B.sample_images(X.images(spark, d), _key()).select("image_name", "split_name")
 
 
-@query("repartition_batch", "select split_name, count(*) as n, sum(image_no) as checksum from fx_images group by 1")
+@query("repartition_batch", "select split_name, count(*) as n, sum(image_no)::bigint as checksum from fx_images group by 1")
 def _(spark, d):
     spread = B.repartition_batch(X.images(spark, d))
     return spread.groupBy("split_name").agg(F.count(F.lit(1)).alias("n"), F.sum("image_no").alias("checksum"))
@@ -521,7 +521,7 @@ def _(spark, d):
 select image_name, anchor_id, count(*) as n_pairs, round(sum(iou), 6) as sum_iou, round(max(iou), 9) as max_iou
 from fx_pairs where iou >= 0.3 group by 1, 2""")
 def _(spark, d):
-    pairs = N.match_anchors(X.labels(spark, d, spread=True))
+    pairs = N.match_anchors(X.labels(spark, d))
     agg = pairs.groupBy("image_name", "anchor_id").agg(
         F.count(F.lit(1)).alias("n_pairs"), F.sum("iou").alias("sum_iou"), F.max("iou").alias("max_iou")
     )
@@ -529,7 +529,7 @@ def _(spark, d):
 
 
 def _best(spark, d) -> DataFrame:
-    return N.best_gt(N.match_anchors(X.labels(spark, d, spread=True)))
+    return N.best_gt(N.match_anchors(X.labels(spark, d)))
 
 
 @query("best_gt", "select image_name, anchor_id, round(iou, 9) as best_iou from fx_best")
@@ -546,7 +546,7 @@ def _(spark, d):
 select i.image_name, count(*) filter (where b.iou > 0.5) as positive, count(*) filter (where b.iou <= 0.5) as ignored,
  {N.N_ANCHORS} - count(b.iou) as negative from fx_images i left join fx_best b using (image_name) group by 1""")
 def _(spark, d):
-    return N.anchor_assignment(X.images(spark, d), X.labels(spark, d, spread=True))
+    return N.anchor_assignment(X.images(spark, d), X.labels(spark, d))
 
 
 @query("anchor_coverage", """
@@ -583,7 +583,7 @@ def _fold(rows: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 def _fold_sql(source: str, digits: int, *names: str) -> str:
-    cells = ", ".join(f"round({k}({n}), {digits}) as {k}_{n}" for n in names for k in ("sum", "min", "max"))
+    cells = ", ".join(f"round({k}({n}::double), {digits}) as {k}_{n}" for n in names for k in ("sum", "min", "max"))
     return f"select image_name, count(*) as n, {cells} from {source} group by image_name"
 
 
@@ -632,8 +632,8 @@ fx_step(image_name, rn, kept) using key (image_name) as (
    > 0.4 * greatest((e.x2 - e.x1) * (e.y2 - e.y1) + (c.x2 - c.x1) * (c.y2 - c.y1)
     - greatest(least(e.x2, c.x2) - greatest(e.x1, c.x1), 0) * greatest(least(e.y2, c.y2) - greatest(e.y1, c.y1), 0), 1e-6))) > 0
   then s.kept else list_append(s.kept, {{'a': c.anchor_id, 's': c.score, 'x1': c.x1, 'y1': c.y1, 'x2': c.x2, 'y2': c.y2}}) end
- from fx_step s join fx_cand c on c.image_name = s.image_name and c.rn = s.rn + 1)
-select image_name, generate_subscripts(kept, 1) - 1 as det_rank, unnest(kept).a as anchor_id, round(unnest(kept).s, 6) as score,
+ from fx_step s join fx_cand c on c.image_name = s.image_name and c.rn = s.rn + 1 where len(s.kept) < {limit})
+select image_name, generate_subscripts(kept, 1)::int - 1 as det_rank, unnest(kept).a as anchor_id, round(unnest(kept).s, 6) as score,
  round(unnest(kept).x1, 6) as x1, round(unnest(kept).y1, 6) as y1, round(unnest(kept).x2, 6) as x2, round(unnest(kept).y2, 6) as y2
 from fx_step
 """
@@ -685,19 +685,19 @@ def _(spark, d):
 
 
 @query("hard_negatives", """
-select image_name, place - 1 as neg_rank, anchor_id, round(loss, 6) as loss from fx_hard
+select image_name, place::int - 1 as neg_rank, anchor_id, round(loss, 6) as loss from fx_hard
 where n_gt > 0 and kind = 'negative' and place <= 3 * greatest(n_pos, 1)""")
 def _(spark, d):
-    return rounded(TL.hard_negatives(X.predictions_wide(spark, d), X.labels(spark, d, spread=True)), 6, "loss")
+    return rounded(TL.hard_negatives(X.predictions_wide(spark, d), X.labels(spark, d)), 6, "loss")
 
 
-@query("image_loss", "select image_name, n_gt, n_pos, n_neg, round(cls_loss, 6) as cls_loss, round(reg_loss, 6) as reg_loss from fx_image_loss")
+@query("image_loss", "select image_name, n_gt, n_pos::int as n_pos, n_neg::int as n_neg, round(cls_loss, 6) as cls_loss, round(reg_loss, 6) as reg_loss from fx_image_loss")
 def _(spark, d):
-    return rounded(TL.image_loss(X.predictions_wide(spark, d), X.labels(spark, d, spread=True)), 6, "cls_loss", "reg_loss")
+    return rounded(TL.image_loss(X.predictions_wide(spark, d), X.labels(spark, d)), 6, "cls_loss", "reg_loss")
 
 
 def _batch_losses(spark, d) -> DataFrame:
-    return evaluate.batch_losses(X.images(spark, d), X.predictions_wide(spark, d), X.labels(spark, d, spread=True), _key())
+    return evaluate.batch_losses(X.images(spark, d), X.predictions_wide(spark, d), X.labels(spark, d), _key())
 
 
 @query("batch_loss", f"select split_name, batch_id, n_images, {r('cls_loss, reg_loss, loss')} from fx_batch_loss")
@@ -734,7 +734,7 @@ def _(spark, d):
 
 
 @query("parse_detections", """
-select h.event_id, h.nb_plates, count(x.event_id) as n_parsed, round(coalesce(sum(x.confidence), 0), 6) as sum_confidence
+select h.event_id, h.nb_plates, count(x.event_id)::int as n_parsed, round(coalesce(sum(x.confidence), 0), 6) as sum_confidence
 from fx_history h left join fx_detections x using (event_id) group by 1, 2""")
 def _(spark, d):
     parsed = H.parsed_history(X.history(spark, d))
@@ -974,8 +974,8 @@ def _decoded(spark, d) -> DataFrame:
 
 
 @query("decode_rgb", f"""
-select vec_id, case when broken then -1 else width end as width, case when broken then -1 else height end as height,
- case when broken then -1 else width * height * 3 end as n_bytes, broken as failed from {SIZES}""")
+select vec_id, case when broken then -1 else width end::int as width, case when broken then -1 else height end::int as height,
+ case when broken then -1 else width * height * 3 end::int as n_bytes, broken as failed from {SIZES}""")
 def _(spark, d):
     return _decoded(spark, d).select(
         "vec_id", "pixels.width", "pixels.height", F.length("pixels.rgb").alias("n_bytes"),
@@ -1004,7 +1004,8 @@ def _(spark, d):
 @query("normalize_tensor", f"""
 select vec_id, 196608 as n_values, case when pad_x > 0 or pad_y > 0 then round((0 - 0.485) / 0.229, 4) end as corner from {FITTED_SQL}""")
 def _(spark, d):
-    prepared = S.prepare(_decoded(spark, d)).where(F.col("error").isNull())
+    fitted = S.prepare(_decoded(spark, d)).where(F.col("error").isNull())
+    prepared = fitted.withColumn("tensor", PX.normalize_tensor(F.col("image")))
     padded = (F.col("pad_x") > 0) | (F.col("pad_y") > 0)
     out = prepared.select(
         "vec_id", F.size("tensor").alias("n_values"), F.when(padded, F.get("tensor", F.lit(0))).alias("corner")
@@ -1024,7 +1025,7 @@ def _(spark, d):
     return A.drop_failed_images(fitted).select("vec_id")
 
 
-@query("base64_payload", f"select vec_id, 4 * ((196608 + 2) // 3) as n_chars from {SIZES} where not broken")
+@query("base64_payload", f"select vec_id, (4 * ((196608 + 2) // 3))::int as n_chars from {SIZES} where not broken")
 def _(spark, d):
     image = PX.letterbox_resize(F.col("pixels"))["image"]
     fitted = A.drop_failed_images(_decoded(spark, d).withColumn("image", image))
@@ -1032,7 +1033,7 @@ def _(spark, d):
 
 
 @query("annotate_plan", """
-select event_id, number, x_min, y_min, x_max, y_max, '#00FF00' as box_color, 3 as box_width, x_min as label_x, y_min - 20 as label_y,
+select event_id, number::int as number, x_min, y_min, x_max, y_max, '#00FF00' as box_color, 3 as box_width, x_min as label_x, y_min - 20 as label_y,
  concat('Plate ', cast(number as string), ': ') as label_head from (
  select *, row_number() over (partition by event_id order by ord) as number from (
   select event_id, d.x_min, d.y_min, d.x_max, d.y_max, ord from (
