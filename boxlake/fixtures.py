@@ -123,7 +123,7 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pa.array(out, pa.binary())
 
     paint = paint.asNondeterministic()
-    rows = spread_scan(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    rows = spread_scan(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id")
     across, down = (F.col("vec_id") % 5 + 2).cast("int"), (F.col("vec_id") % 3 + 2).cast("int")
     content = paint("embedding", across, down)
     cut = F.when(F.col("vec_id") % 11 == 0, F.substring("content", 1, 60)).otherwise(F.col("content"))
@@ -139,7 +139,7 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    return spark.sql(LABEL_LINES, lineitem=spread_scan(keys))
+    return spark.sql(LABEL_LINES, lineitem=spread_scan(keys, "l_orderkey"))
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +156,7 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long predictions: one row per image and anchor."""
-    rows = spread_scan(table(spark, sf_dir, "customer").select("c_custkey")).select(
+    rows = spread_scan(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select(
         "c_custkey", F.explode(F.sequence(F.lit(0), F.lit(N_ANCHORS - 1))).alias("anchor_id")
     )
     values = [F.expr(t.format(k="c_custkey", a="anchor_id")).alias(n) for n, t in PRED_COLUMNS.items()]
@@ -177,7 +177,7 @@ def predictions_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return run.asNondeterministic()(F.col("c_custkey"))
 
-    return spread_scan(table(spark, sf_dir, "customer").select("c_custkey")).select(
+    return spread_scan(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select(
         F.concat(F.lit("img_"), F.col("c_custkey").cast("string")).alias("image_name"),
         fill(["logit0", "logit1"]).alias("logits"),
         fill(["dx", "dy", "dw", "dh"]).alias("deltas"),

@@ -22,13 +22,13 @@ def repartition_batch(frame: DataFrame) -> DataFrame:
     return frame.repartition(max(1, frame.sparkSession.sparkContext.defaultParallelism))
 
 
-def spread_scan(frame: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores; a larger one is left as it is.
+def spread_scan(frame: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores by its keys; a larger one stays as it is.
 
     For frames that only scan and project: the number of splits is then known without running anything.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return repartition_batch(frame) if frame.rdd.getNumPartitions() < cores else frame
+    return frame.repartition(cores, *keys) if frame.rdd.getNumPartitions() < cores else frame
 
 
 def spread_by(frame: DataFrame, on: Sequence[str]) -> DataFrame:

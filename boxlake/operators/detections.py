@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boxlake.functions import geometry as G
 from boxlake.operators.anchors import N_ANCHORS, anchor_box, anchor_grid
@@ -114,37 +116,34 @@ def keep_greedily(cells: np.ndarray, starts: np.ndarray, threshold: float, limit
     return kept
 
 
-def kept_positions(ranked: Column, threshold: float, limit: int) -> Column:
-    """Positions that greedy suppression keeps in an array of ranked corner boxes.
+def _stream_nms(on: Sequence[str], threshold: float, limit: int) -> Callable:
+    """Arrow batches of rows sorted by image and rank -> their kept rows.
 
-    Greedy suppression is a loop whose every step depends on the ones before; as an SQL fold it
-    costs one interpreted IoU per pair, so it runs on Arrow batches, one array per image.
+    Between batches only the boxes kept so far of the image at hand are held. Put in front of the
+    image's next rows they are kept again, so an image may span any number of batches.
     """
-    threshold = check_threshold("overlap threshold", threshold)
-
-    @F.arrow_udf("array<int>")
-    def keep(x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa.Array) -> pa.Array:
-        # .values ignores the slice that the offsets already describe
-        cells = np.stack([c.values.to_numpy(zero_copy_only=False) for c in (x1, y1, x2, y2)])
-        return pa.array(keep_greedily(cells, x1.offsets.to_numpy(), threshold, limit), pa.list_(pa.int32()))
-
-    # marked so that Spark never runs it a second time below a pushed-down filter
-    keep = keep.asNondeterministic()
-    return keep(*[ranked[n] for n in CORNERS])
-
-
-def _rank_struct() -> Column:
-    """Sorts by falling score, then by anchor."""
-    return F.struct((-F.col("score")).alias("negative"), "anchor_id", "score", *CORNERS)
-
-
-def _detections(arrays: DataFrame, on: Sequence[str], threshold: float, limit: int) -> DataFrame:
-    """`ranked` arrays to one row per kept box."""
-    kept = arrays.withColumn("positions", kept_positions(F.col("ranked"), threshold, limit))
-    # pick inside the row: exploding beside the full array would copy it for every kept box
-    found = F.transform("positions", lambda p: F.get("ranked", p))
-    rows = kept.select(*on, F.posexplode(found).alias("det_rank", "box"))
-    return rows.select(*on, "det_rank", *[F.col("box")[n].alias(n) for n in ("anchor_id", "score", *CORNERS)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = (pa.concat_tables([held, rows]) if held is not None else rows).combine_chunks()
+            changed = np.zeros(max(rows.num_rows - 1, 0), bool)
+            for name in on:
+                key = rows.column(name)
+                changed |= pc.not_equal(key[1:], key[:-1]).to_numpy()
+            starts = np.concatenate([[0], np.flatnonzero(changed) + 1, [rows.num_rows]])
+            cells = np.stack([rows.column(c).to_numpy() for c in CORNERS])
+            kept = keep_greedily(cells, starts, threshold, limit)
+            done = rows.take(pa.array(np.concatenate([s + k for s, k in zip(starts, kept[:-1])] or [[]]), pa.int64()))
+            ranks = np.concatenate([np.arange(len(k)) for k in kept[:-1]] or [[]])
+            held = rows.take(pa.array(starts[-2] + kept[-1], pa.int64()))
+            yield from done.append_column("det_rank", pa.array(ranks, pa.int32())).to_batches()
+        if held is not None:
+            yield from held.append_column("det_rank", pa.array(np.arange(held.num_rows), pa.int32())).to_batches()
+
+    return run
 
 
 def nms(
@@ -152,22 +151,19 @@ def nms(
     threshold: float = NMS_THRESHOLD,
     limit: int = MAX_DETECTIONS,
     on: Sequence[str] = ("image_name",),
-    group_bound: int = N_ANCHORS,
 ) -> DataFrame:
-    """Greedy suppression per image for candidates keyed by (image, anchor).
+    """Greedy suppression per image: kept rows with `det_rank`, equal scores by anchor.
 
-    The key bounds an image at `group_bound` rows. Input that breaks it fails with an error
-    instead of filling a task; `nms_any` handles groups of any size.
+    Suppression is a loop whose every step hangs on the ones before; as an SQL fold it costs one
+    interpreted IoU per pair, so sorted rows stream through numpy. A task holds at most `limit`
+    boxes and one batch, whatever the size of an image. Predictions keyed by (image, anchor) have
+    at most N_ANCHORS rows per image; for images of millions of boxes `nms_any` shares the work out.
     """
-    order = W.partitionBy(*on).orderBy(F.col("score").desc(), "anchor_id")
-    # one row above the bound is enough to notice the breach
-    bounded = spread_by(boxes, on).withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= group_bound + 1)
-    arrays = bounded.groupBy(*on).agg(F.array_sort(F.collect_list(_rank_struct())).alias("ranked"))
-    breach = F.raise_error(F.lit(f"more than {group_bound} boxes in one image: use nms_any"))
-    checked = arrays.withColumn(
-        "ranked", F.when(F.size("ranked") > group_bound, breach).otherwise(F.col("ranked"))
-    )
-    return _detections(checked, on, threshold, limit)
+    on = list(on)
+    rows = boxes.select(*on, "anchor_id", "score", *CORNERS)
+    ordered = spread_by(rows, on).sortWithinPartitions(*on, F.col("score").desc(), "anchor_id", *CORNERS)
+    schema = T.StructType([*rows.schema.fields, T.StructField("det_rank", T.IntegerType())])
+    return ordered.mapInArrow(_stream_nms(on, check_threshold("overlap threshold", threshold), limit), schema)
 
 
 def nms_any(
@@ -177,7 +173,7 @@ def nms_any(
     on: Sequence[str] = ("image_name",),
     block: int = 4 * N_ANCHORS,
 ) -> DataFrame:
-    """Greedy suppression per image for groups of any size; same result as `nms`.
+    """`nms` for groups of any size, without any of them passing through one task.
 
     Works in rounds. A round takes the `block` best boxes of each open image and suppresses among
     them; everything ranked lower is then tested, row by row and in parallel, against the at most
@@ -191,48 +187,42 @@ def nms_any(
     threshold = check_threshold("overlap threshold", threshold)
     root = scratch_dir(spark, "nms")
     columns = [*on, "anchor_id", "score", *CORNERS]
+    place = F.struct((-F.col("score")).alias("negative"), "anchor_id", *CORNERS)
+    order = W.partitionBy(*on).orderBy(F.col("score").desc(), "anchor_id", *CORNERS)
     rest = boxes.select(*columns, F.lit(0).alias("done"))
     rounds: list[DataFrame] = []
     for number in range(limit):
-        order = W.partitionBy(*on).orderBy(F.col("score").desc(), "anchor_id", *CORNERS)
+        # Spark cuts each image to `block` rows per task before the shuffle
         top = rest.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= F.lit(block))
-        arrays = top.groupBy(*on).agg(
-            F.first("done").alias("done"),
-            F.array_sort(F.collect_list(_rank_struct())).alias("ranked"),
+        kept = nms(top, threshold, limit, on).groupBy(*on).agg(
+            F.array_sort(F.collect_list(F.struct("det_rank", "anchor_id", "score", *CORNERS))).alias("found")
+        )
+        ends = top.groupBy(*on).agg(
+            F.max(place).alias("last"), F.first("done").alias("done"), F.count(F.lit(1)).alias("seen")
         )
-        kept = arrays.withColumn("positions", kept_positions(F.col("ranked"), threshold, limit))
         path = f"{root}/kept-{number}"
-        found = F.slice(F.transform("positions", lambda p: F.get("ranked", p)), F.lit(1), F.lit(limit) - F.col("done"))
-        kept.select(
-            *on, "done", found.alias("found"),
-            F.when(F.size("ranked") == block, F.element_at("ranked", -1)).alias("last"),
-        ).write.parquet(path)
+        found = F.slice("found", F.lit(1), F.lit(limit) - F.col("done"))
+        kept.join(ends, on).withColumn("found", found).write.parquet(path)
         state = spark.read.parquet(path)
-        rounds.append(state.select(*on, F.posexplode("found").alias("pos", "box"), "done"))
-        open_images = state.where(
-            F.col("last").isNotNull() & (F.col("done") + F.size("found") < F.lit(limit))
+        rounds.append(state.select(*on, "done", F.inline("found")))
+        so_far = F.col("done") + F.size("found")
+        ahead = state.where((F.col("seen") == block) & (so_far < limit)).select(
+            *on, "found", "last", so_far.alias("so_far")
         )
-        after = F.struct(
-            (-F.col("score")).alias("negative"), F.col("anchor_id"), F.col("score"), *[F.col(c) for c in CORNERS]
-        ) > F.col("last")
         overlap = F.exists(
             "found",
             lambda k: G.box_iou(G.Box(*[k[c] for c in CORNERS]), G.Box.of(*CORNERS)) > F.lit(threshold),
         )
-        ahead = open_images.select(*on, "found", "last", (F.col("done") + F.size("found")).alias("so_far"))
-        left = (
-            rest.drop("done").join(ahead, on).where(after & ~overlap)
-            .select(*columns, F.col("so_far").cast("int").alias("done"))
+        left = rest.drop("done").join(ahead, on).where((place > F.col("last")) & ~overlap).select(
+            *columns, F.col("so_far").alias("done")
         )
         path = f"{root}/left-{number}"
         left.write.parquet(path)
         rest = spark.read.schema(left.schema).parquet(path)
         if rest.isEmpty():
             break
-    merged = reduce(DataFrame.unionByName, rounds)
-    return merged.select(
-        *on, (F.col("done") + F.col("pos")).alias("det_rank"),
-        *[F.col("box")[n].alias(n) for n in ("anchor_id", "score", *CORNERS)],
+    return reduce(DataFrame.unionByName, rounds).select(
+        *columns, (F.col("done") + F.col("det_rank")).alias("det_rank")
     )
 
 
