@@ -139,7 +139,9 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    return spark.sql(LABEL_LINES, lineitem=spread_scan(keys, "l_orderkey"))
+    lines = spark.sql(LABEL_LINES, lineitem=spread_scan(keys, "l_orderkey"))
+    # as read from a file: the generator keeps the text from being composed again by every use of it
+    return lines.select(F.inline(F.array(F.struct("image_name", "value"))))
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

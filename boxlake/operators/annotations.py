@@ -185,21 +185,22 @@ def count_images(images: DataFrame, batch_size: int) -> DataFrame:
     )
 
 
-def dataset_stats(rows: DataFrame, by_split: bool = False) -> DataFrame:
-    """Images, boxes, mean aspect ratio and mean normalised area of feature rows.
+def dataset_stats(images: DataFrame, features: DataFrame, by_split: bool = False) -> DataFrame:
+    """Images, boxes, mean aspect ratio and mean normalised area, from images and feature rows.
 
-    Image totals come from one row per image, so nothing needs a distinct count over boxes.
+    Images and boxes are stacked and summed in one pass, without bringing the boxes of an image together.
     """
-    per_image = rows.groupBy("split_name", "image_name").agg(
-        F.count("cx").alias("boxes"),
-        F.sum("aspect_ratio").alias("aspect"),
-        F.count("aspect_ratio").alias("aspects"),
-        F.sum("bbox_area_norm").alias("area"),
-    )
-    grouped = per_image.rollup("split_name") if by_split else per_image.groupBy()
+    none = F.lit(None).cast("double")
+    counted = images.select(
+        "split_name", F.lit(1).alias("image"), F.lit(0).alias("box"), none.alias("aspect"), none.alias("area")
+    ).unionByName(features.where(F.col("cx").isNotNull()).select(
+        "split_name", F.lit(0).alias("image"), F.lit(1).alias("box"),
+        F.col("aspect_ratio").alias("aspect"), F.col("bbox_area_norm").alias("area"),
+    ))
+    grouped = counted.rollup("split_name") if by_split else counted.groupBy()
     return grouped.agg(
-        F.count(F.lit(1)).alias("total_images"),
-        F.sum("boxes").alias("total_boxes"),
-        (F.sum("aspect") / F.sum("aspects")).alias("avg_aspect_ratio"),
-        (F.sum("area") / F.sum("boxes")).alias("avg_bbox_area_norm"),
+        F.sum("image").alias("total_images"),
+        F.sum("box").alias("total_boxes"),
+        F.avg("aspect").alias("avg_aspect_ratio"),
+        F.avg("area").alias("avg_bbox_area_norm"),
     )

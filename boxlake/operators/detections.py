@@ -171,7 +171,7 @@ def nms_any(
     threshold: float = NMS_THRESHOLD,
     limit: int = MAX_DETECTIONS,
     on: Sequence[str] = ("image_name",),
-    block: int = 4 * N_ANCHORS,
+    block: int = 1000,
 ) -> DataFrame:
     """`nms` for groups of any size, without any of them passing through one task.
 
@@ -180,7 +180,8 @@ def nms_any(
     `limit` boxes kept so far, and the survivors form the next round. Every round keeps at least
     one box per open image, and an image closes at `limit` boxes or when nothing is left, so there
     are at most `limit` rounds (one, when all images fit in a block). Rounds are cut by written
-    tables, so a lost executor costs one round at most.
+    tables, so a lost executor costs one round at most. A block of up to 1000 rows is cut out before
+    the shuffle (Spark's own bound for limits inside windows).
     """
     on = list(on)
     spark = boxes.sparkSession
@@ -192,7 +193,6 @@ def nms_any(
     rest = boxes.select(*columns, F.lit(0).alias("done"))
     rounds: list[DataFrame] = []
     for number in range(limit):
-        # Spark cuts each image to `block` rows per task before the shuffle
         top = rest.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= F.lit(block))
         kept = nms(top, threshold, limit, on).groupBy(*on).agg(
             F.array_sort(F.collect_list(F.struct("det_rank", "anchor_id", "score", *CORNERS))).alias("found")

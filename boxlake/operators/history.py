@@ -175,6 +175,9 @@ def needs_migration(header: Sequence[str]) -> bool:
 def resolve_artifacts(history: DataFrame, artifacts: DataFrame, column: str = "original_image_path") -> DataFrame:
     """Stored image bytes beside their history rows; null for no path, a missing file, or a path
     that leaves the base folder. `artifacts` has `path` and `content`."""
-    safe = F.when(paths.inside_base(F.col(column)), F.col(column))
-    found = artifacts.select(F.col("path").alias("safe_path"), "content")
-    return history.withColumn("safe_path", safe).join(found, "safe_path", "left").drop("safe_path")
+    safe = F.coalesce(paths.inside_base(F.col(column)), F.lit(False))
+    found = artifacts.select(F.col("path").alias(column), "content")
+    # rows without a usable path need no join; as null keys they would all meet in one task
+    return history.where(safe).join(found, column, "left").unionByName(
+        history.where(~safe), allowMissingColumns=True
+    )

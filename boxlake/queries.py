@@ -283,8 +283,8 @@ FEATURES = """
 select split_name, count(distinct image_name) as total_images, count(cx) as total_boxes, round(avg(aspect), 6) as avg_aspect_ratio,
  round(avg(area), 6) as avg_bbox_area_norm from {FEATURES} group by rollup (split_name)""")
 def _(spark, d):
-    rows = A.with_box_features(A.box_rows(X.images(spark, d), X.labels(spark, d), ON))
-    return rounded(A.dataset_stats(rows, by_split=True), 6, "avg_aspect_ratio", "avg_bbox_area_norm")
+    rows = preprocess.feature_rows(X.images(spark, d), X.label_lines(spark, d), ON)
+    return rounded(A.dataset_stats(X.images(spark, d), rows, by_split=True), 6, "avg_aspect_ratio", "avg_bbox_area_norm")
 
 
 @query("split_filter", "select image_name, img_width, img_height from fx_images where split_id = 1")
