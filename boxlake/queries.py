@@ -1045,6 +1045,75 @@ def _(spark, d):
     return plan.withColumn("label_head", F.regexp_extract("label", r"^(Plate \d+: )\d\.\d\d$", 1)).drop("label")
 
 
+# ---------------------------------------------------------------- image trees written by Spark and read back
+
+TREE = f"""
+(select *, case when vec_id % 10 < 8 then 'train' when vec_id % 10 = 8 then 'valid' else 'test' end as split_name,
+ case when vec_id % 10 < 8 then 0 when vec_id % 10 = 8 then 1 else 2 end::int as split_id, concat('vec_', cast(vec_id as string)) as image_name from {SIZES})"""
+
+
+def _image_tree(spark, d) -> str:
+    """A dataset folder: one image and one label file with two lines per embedding."""
+    root = scratch_dir(spark, "tree")
+    split = F.when(F.col("vec_id") % 10 < 8, "train").when(F.col("vec_id") % 10 == 8, "valid").otherwise("test")
+    rows = X.image_files(spark, d).withColumns({"split": split, "name": F.concat(F.lit("vec_"), F.col("vec_id").cast("string"))})
+    lines = F.concat(F.lit("0 0.5 0.5 0.2 0.1\n1 0."), F.lpad((F.col("vec_id") % 900 + 50).cast("string"), 3, "0"), F.lit(" 0.4 0.1 0.3\n"))
+
+    def placed(kind: str, extension: str, content) -> DataFrame:
+        path = F.concat("split", F.lit(f"/{kind}/"), "name", F.lit(extension))
+        return rows.select(path.alias("path"), content.alias("content"))
+
+    sinks.write_artifact_files(placed("images", ".jpg", F.col("content")), root)
+    sinks.write_artifact_files(placed("labels", ".txt", F.encode(lines, "utf-8")), root)
+    return root
+
+
+@query("scan_images", f"select image_name, split_name, split_id, broken as is_short from {TREE}")
+def _(spark, d):
+    images = files.scan_images(spark, _image_tree(spark, d))
+    return images.withColumn("is_short", F.length("raw_content") == 60).drop("raw_content")
+
+
+@query("scan_image_pixels", f"""
+select image_name, split_name, case when broken then -1 else width end::int as width, case when broken then -1 else height end::int as height from {TREE}""")
+def _(spark, d):
+    images = files.scan_image_pixels(spark, _image_tree(spark, d))
+    return images.select("image_name", "split_name", "image.width", "image.height")
+
+
+@query("preprocess", f"""
+select image_name, split_name, l.class_id, round(l.cx * (1 - 2 * pad_x) + pad_x, 5) as cx, round(l.h * (1 - 2 * pad_y), 5) as h from (
+ select t.*, floor((256 - floor(width * scale)) / 2) / 256 as pad_x, floor((256 - floor(height * scale)) / 2) / 256 as pad_y
+ from (select *, least(256.0::double / width, 256.0::double / height) as scale from {TREE} where not broken) t) t,
+ lateral (select 0::double as class_id, 0.5::double as cx, 0.1::double as h
+  union all select 1::double, (t.vec_id % 900 + 50) / 1000, 0.3::double) l""")
+def _(spark, d):
+    out = scratch_dir(spark, "preprocessed")
+    preprocess.preprocess(spark, _image_tree(spark, d), out)
+    table = files.read_training_table(spark, out)
+    rows = table.select("image_name", "split_name", F.inline(F.arrays_zip("cls_targets", "reg_targets")))
+    boxes = rows.select(
+        "image_name", "split_name", F.col("cls_targets").cast("double").alias("class_id"),
+        F.get("reg_targets", F.lit(0)).alias("cx"), F.get("reg_targets", F.lit(3)).alias("h"),
+    )
+    return rounded(boxes, 5, "cx", "h")
+
+
+@query("score_inbox_stream", f"""
+select concat('vec_', cast(vec_id as string), '.png') as image_name,
+ case when broken then 'error: cannot identify image file' else 'success' end as status from {SIZES}""")
+def _(spark, d):
+    """All images arrive in an inbox; a second run of the stream finds nothing new."""
+    root = scratch_dir(spark, "stream")
+    arrived = X.image_files(spark, d).select(F.col("filename").alias("path"), "content")
+    sinks.write_artifact_files(arrived, f"{root}/inbox")
+    for _run in range(2):
+        inbox.score_inbox_stream(
+            spark, f"{root}/inbox", make_stub, f"{root}/history", f"{root}/state", score_threshold=0.5
+        ).awaitTermination()
+    return sinks.read_history(spark, f"{root}/history", "image_name string, status string").drop("batch_id")
+
+
 # ---------------------------------------------------------------- scoring with a stand-in model
 
 

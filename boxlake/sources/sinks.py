@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from urllib.parse import urlparse
+
+import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxlake.functions import paths
 from boxlake.schema import EPOCH_LOG
 
 
@@ -48,10 +55,35 @@ def purge_history(spark: SparkSession, path: str, schema: str) -> None:
 
 
 def write_artifacts(artifacts: DataFrame, path: str, batch_id: str | int) -> None:
-    """(path, content) rows; Spark has no writer for single binary files."""
+    """(path, content) rows as a table; a few large files instead of very many small ones."""
     artifacts.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
+def write_artifact_files(artifacts: DataFrame, base: str) -> int:
+    """Each (path, content) row as a file below `base`, a folder all executors reach; returns how many.
+
+    Spark has no writer for single binary files, so tasks write theirs through Arrow's file systems. A
+    file appears under its name only when it is whole, and a task that runs again writes the same
+    bytes. Paths that would leave `base` are refused.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where = urlparse(base)
+        local = where.scheme in ("", "file")
+        store, root = (fs.LocalFileSystem(), where.path) if local else fs.FileSystem.from_uri(base)
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                target = f"{root.rstrip('/')}/{path.as_py()}"
+                store.create_dir(target.rpartition("/")[0], recursive=True)
+                partial = f"{target}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(partial) as out:
+                    out.write(content.as_buffer())
+                store.move(partial, target)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    safe = artifacts.where(paths.inside_base(F.col("path")) & F.col("content").isNotNull())
+    return safe.select("path", "content").mapInArrow(write, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
 def write_predictions_csv(detections: DataFrame, path: str, timestamp: str) -> None:
     """One row per image: boxes, classes and scores as JSON lists, one timestamp per batch."""
     boxes = F.transform("boxes", lambda b: F.array(b["x1"], b["y1"], b["x2"], b["y2"]))

@@ -209,6 +209,15 @@ def test_jpeg_files_decode_on_the_jvm(spark, tmp_path):
     assert row.filename == "red.jpg" and red[5, 10, 0] > 240 and red[5, 10, 2] < 15
 
 
+def test_artifact_files(spark, tmp_path):
+    rows = [("images/runs/r/a_orig.jpg", b"one"), ("images/b.jpg", b"two"), ("../c", b"three"), ("d", None)]
+    frame = spark.createDataFrame(rows, "path string, content binary")
+    for _ in range(2):
+        assert sinks.write_artifact_files(frame, str(tmp_path / "base")) == 2
+    found = {str(p.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()}
+    assert found == {"base/images/runs/r/a_orig.jpg": b"one", "base/images/b.jpg": b"two"}
+
+
 def test_names_and_run_ids(spark):
     from datetime import datetime
 
