@@ -86,7 +86,8 @@ def build_bboxes(
         F.coalesce(F.pmod(F.xxhash64(*BOX_FIELDS, "piece"), F.col("parts")), F.lit(0).cast("long"))
         .alias("part"),
     )
-    grouped = placed.groupBy(*on, "part").agg(
+    # by part as well: partitioned by image alone, all parts of an image would meet in one task
+    grouped = placed.repartition(*on, "part").groupBy(*on, "part").agg(
         F.array_sort(F.collect_list(F.struct(*BOX_FIELDS, "held"))).alias("found")
     )
     boxes = F.flatten(F.transform("found", lambda b: F.array_repeat(b, b["held"])))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from boxlake.functions import paths
+from boxlake.operators.batching import repartition_batch
 from boxlake.operators.pixels import pixels_of_image_source
 from boxlake.operators.scoring import history_rows, run_scoring
 from boxlake.sources.sinks import append_history
@@ -43,7 +44,8 @@ def score_inbox_stream(
     itself; the checkpoint keeps scored files from being scored again.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        results = run_scoring(batch, make_predict_fn, f"stream_{batch_id:08d}", **options)
+        # a trigger holds few files, which would otherwise share a few tasks
+        results = run_scoring(repartition_batch(batch), make_predict_fn, f"stream_{batch_id:08d}", **options)
         append_history(history_rows(results, F.current_timestamp()), history_path, batch_id)
 
     return (
