@@ -396,7 +396,7 @@ select i.image_name, s.slot::int as slot, round(coalesce(l.class_id, 0)::double,
 from fx_images i cross join range(20) s(slot) left join fx_ranked_labels l on l.image_name = i.image_name and l.pos = s.slot""")
 def _(spark, d):
     padded = B.pad_targets(X.images(spark, d), X.labels(spark, d), ON)
-    rows = padded.select("image_name", F.posexplode(F.arrays_zip("cls", "reg", "mask")).alias("slot", "e"))
+    rows = padded.select("image_name", F.posexplode_outer(F.arrays_zip("cls", "reg", "mask")).alias("slot", "e"))
     out = rows.select(
         "image_name", "slot", F.col("e.cls").alias("cls"),
         *[F.get("e.reg", F.lit(i)).alias(n) for i, n in enumerate(BOX)], F.col("e.mask").alias("mask"),
