@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import exact_dedup, language_id, sentencepiece_fst, simhash
 from .common import documents
 
 WORD_SPACE = r"[\x20\x09-\x0D]"
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_sentencepiece_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_fst.encode_and_decode(documents(spark, sf_dir))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = language_id.fit(docs.where(fold != 2))
+    told = language_id.identify(docs.select("doc_id", "text"), model)
+    return told.select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred",
+        F.col("lang_score").alias("score"), F.col("lang_bits").alias("bits_per_byte"),
+    )
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = simhash.near_groups(documents(spark, sf_dir))
     return grouped.select("doc_id", simhash.hex_print().alias("fingerprint"), F.col("component").alias("component_id"))
@@ -30,6 +45,8 @@ from folded
 """
 
 QUERIES = {
+    "op1_sentencepiece_encode_decode": op1_sentencepiece_encode_decode,
+    "op3_language_id": op3_language_id,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
 }
