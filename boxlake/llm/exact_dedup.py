@@ -5,9 +5,12 @@ rank of its content among the distinct contents. Then neighbouring names are pai
 the same way, and so on until each text has a single name. Names come from sorting whole contents, never from a hash,
 so two texts share (level, name) exactly if they are equal.
 
-The sort is a range partitioning by content and row, so a content that a third of all blocks have is spread over many
-tasks. A task numbers its contents from zero and reports its first and last one; a task whose first content equals the
-last of the task before shares that name. Only these reports, one row a task, are added up.
+The sort is a range partitioning by a 128-bit digest of the content and by row, so a content that a third of all blocks
+have is spread over many tasks, and the ranges are drawn from short keys. Within a task blocks are ordered by digest and
+content. A task numbers its contents from zero and reports its first and last one; a task whose first content equals the
+last of the task before shares that name. Only these reports, one row a task, are added up. The digest decides where a
+block is compared, the bytes decide the name; should two contents of one digest meet at the border of two tasks, the
+job stops with an error rather than give a wrong name.
 
 Defined results: null text counts as empty, and all empty texts are equal; of equal texts the row with the largest
 doc_id stays, null doc_id last; among rows with equal text and doc_id the one with the largest tie columns stays, so
@@ -66,7 +69,11 @@ def _blocks(docs: DataFrame, owner: list[str], text: str, size: int) -> DataFram
 def _named(items: DataFrame, content: list[str]) -> DataFrame:
     """Replace the content columns by `name`, the rank of the content among all distinct contents."""
     rest = [c for c in items.columns if c not in content]
-    ordered = items.repartitionByRange(*content, "row", "pos").sortWithinPartitions(*content).select(*rest, *content)
+    digests = [F.xxhash64(*content), F.xxhash64(F.lit(1), *content)]
+    ordered = (
+        items.repartitionByRange(*digests, "row", "pos").sortWithinPartitions(digests[0], *content)
+        .select(*rest, *content)
+    )
     fields = {f.name: f for f in items.schema}
     schema = T.StructType(
         [T.StructField("task", T.IntegerType()), T.StructField("rank", T.LongType())]
@@ -112,9 +119,9 @@ def _named(items: DataFrame, content: list[str]) -> DataFrame:
         numbered.where("row is null").withColumn("at", F.row_number().over(order)).drop("row", *rest), "name-tasks"
     )
     before = tasks.select((F.col("at") + 1).alias("at"), *[F.col(f"last_{c}").alias(f"before_{c}") for c in content])
-    same = F.lit(True)
-    for c in content:
-        same = same & (F.col(f"first_{c}") == F.col(f"before_{c}"))
+    first, last = [F.struct(*[F.col(f"{side}_{c}").alias(c) for c in content]) for side in ("first", "before")]
+    clash = (F.xxhash64(first) == F.xxhash64(last)) & (first != last)
+    same = F.when(clash, F.raise_error(F.lit("two contents of one digest at a border"))).otherwise(first == last)
     offsets = (
         tasks.join(before, "at", "left")
         .select("at", "task", (F.col("rank") + 1).alias("n"), F.coalesce(same, F.lit(False)).cast("long").alias("same"))
@@ -155,9 +162,9 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", ties: tuple[str, ...]
                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """key, tie columns, keep_id, group_size, kept, text_sha256, level and name of every row."""
     rows = identities(docs, [key, *ties], text, block_bytes)
-    groups = rows.groupBy("level", "name").agg(
+    groups = freeze(rows.groupBy("level", "name").agg(
         F.max(F.struct("owner", "row")).alias("keep"), F.count("*").alias("group_size")
-    )
+    ), "groups")
     return rows.join(groups, ["level", "name"]).select(
         *[F.col(f"owner.{c}").alias(c) for c in (key, *ties)],
         F.col(f"keep.owner.{key}").alias("keep_id"), "group_size",
