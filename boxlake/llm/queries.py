@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, sentencepiece_fst, simhash
+from . import decontamination, exact_dedup, language_id, sentencepiece_fst, simhash
 from .common import documents
 
 WORD_SPACE = r"[\x20\x09-\x0D]"
@@ -37,6 +37,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.matches(documents(spark, sf_dir), benchmark, ["doc_id"])
+
+
 OP5_SQL = f"""
 with folded as (select doc_id, {FOLDED} as t from documents)
 select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
@@ -44,10 +49,68 @@ select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (part
 from folded
 """
 
+_UNITS = ", ".join(f"'{u}'" for u in decontamination.UNITS)
+
+
+def _template_windows(table: str, key: str) -> str:
+    d = decontamination
+    return f"""
+{table}_raw as (
+    select {key}, row_number() over () as {table}_row, list_filter(string_split_regex(
+        regexp_replace(regexp_replace(coalesce(text, ''), '{d.NAME_RULE}', '\\1' || chr(1) || '\\2', 'g'),
+                       '{d.NUMBER_RULE}', '\\1' || chr(2) || '\\2', 'g'),
+        '{d.BETWEEN_WORDS}'), lambda w: w <> '') as raw
+    from {table}
+), {table}_words as (
+    select *, list_transform(raw, lambda w: case when w >= '0' and w < ':' then '{d.NUM}' when w < chr(2) then '{d.NAME}'
+        when lower(w) in ({_UNITS}) then '{d.UNIT}' else lower(w) end) as words
+    from {table}_raw where len(raw) > 0
+), {table}_starts as (
+    select *, unnest(range(1, greatest(len(words) - {d.WINDOW - 1}, 1) + 1)) as start from {table}_words
+), {table}_windows as (
+    select {key}, {table}_row, start, list_slice(words, start, start + {d.WINDOW - 1}) as words,
+           list_slice(raw, start, start + {d.WINDOW - 1}) as raw
+    from {table}_starts
+)"""
+
+
+# every document row is matched for itself; a doc_id that several rows share is summed up at the end
+OP6_SQL = f"""
+with {_template_windows("documents", "doc_id")}, {_template_windows("benchmark", "item_id")},
+usable as (
+    select * from benchmark_windows
+    where len(list_filter(words, lambda w: w not in ('{decontamination.NUM}', '{decontamination.NAME}', '{decontamination.UNIT}')))
+          >= least({decontamination.MIN_LITERALS}, len(words))
+), sizes as (select benchmark_row, count(*) as n_windows from usable group by 1),
+met as (
+    select d.doc_id, u.benchmark_row, u.item_id, d.start - u.start as shift, u.start, u.words, u.raw, d.raw as doc_raw
+    from documents_windows d join usable u on d.words = u.words
+), slots as (
+    select doc_id, benchmark_row, shift, unnest(words) as kind, unnest(raw) as value, unnest(doc_raw) as doc_value from met
+), told as (
+    select doc_id, benchmark_row, shift, count(distinct (kind, value, doc_value)) as pairs,
+           count(distinct (kind, value)) as ours, count(distinct (kind, doc_value)) as theirs, bool_and(value = doc_value) as exact
+    from slots where kind in ('{decontamination.NUM}', '{decontamination.NAME}', '{decontamination.UNIT}') group by 1, 2, 3
+), aligned as (
+    select doc_id, benchmark_row, item_id, shift, count(*) as matched from met group by 1, 2, 3, 4
+), consistent as (
+    select a.*, coalesce(t.exact, true) as exact
+    from aligned a left join told t
+      on a.doc_id is not distinct from t.doc_id and a.benchmark_row = t.benchmark_row and a.shift = t.shift
+    where t.pairs is null or (t.pairs = t.ours and t.pairs = t.theirs)
+), best as (
+    select doc_id, benchmark_row, item_id, max(matched) as matched, arg_max(exact, matched * 2 + exact::int) as exact
+    from consistent group by 1, 2, 3
+)
+select doc_id, item_id, n_windows, matched, exact
+from best join sizes using (benchmark_row) where matched >= least(n_windows, {decontamination.MIN_WINDOWS})
+"""
+
 QUERIES = {
     "op1_sentencepiece_encode_decode": op1_sentencepiece_encode_decode,
     "op3_language_id": op3_language_id,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
-ORACLES = {"op5_exact_dedup": OP5_SQL}
+ORACLES = {"op5_exact_dedup": OP5_SQL, "op6_benchmark_decontamination": OP6_SQL}
