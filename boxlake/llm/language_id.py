@@ -30,14 +30,18 @@ _FOLD[65:91] += 32
 
 
 def labelled_sample(docs: DataFrame, key: str, text: str, lang: str, sample_docs: int) -> DataFrame:
-    """(lang, text) of about `sample_docs` rows of each language; a row is drawn by the hash of its key."""
+    """(lang, text) of about `sample_docs` rows of each language; a row is drawn by the hash of its key.
+
+    One count per language goes to the driver.
+    """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = rows.groupBy(F.col(lang).alias("lang_of_size")).agg(F.count("*").alias("n"))
+    sizes = rows.groupBy(F.col(lang).alias("lang")).count().collect()
+    if not sizes:
+        return rows.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"))
+    rate = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], sample_docs / row["count"])])
     draw = F.pmod(F.xxhash64(F.lit("ppm"), F.col(key).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (
-        rows.join(sizes, F.col(lang) == F.col("lang_of_size"))
-        .where(draw < F.lit(float(sample_docs)) / F.col("n"))
-        .select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"))
+    return rows.where(draw < F.element_at(rate, F.col(lang))).select(
+        F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text")
     )
 
 
@@ -104,7 +108,7 @@ class Model:
             lower = cost[shorter] if shorter is not None else np.full((width, kinds), 8.0)
             c = table[node]
             total, distinct = c.sum(0), (c > 0).sum(0)
-            with np.errstate(divide="ignore"):
+            with np.errstate(divide="ignore", invalid="ignore"):
                 escape = np.where(total > 0, np.log2(total + distinct) - np.log2(distinct), 0.0)
                 cost[node] = np.where(c > 0, np.log2(total + distinct) - np.log2(c), escape + lower)
             if shorter is not None:
