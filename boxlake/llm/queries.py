@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, sentencepiece_fst, simhash
+from . import decontamination, exact_dedup, language_id, license_scan, sentencepiece_fst, simhash
 from .common import documents
 
 WORD_SPACE = r"[\x20\x09-\x0D]"
@@ -42,6 +42,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.matches(documents(spark, sf_dir), benchmark, ["doc_id"])
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 OP5_SQL = f"""
 with folded as (select doc_id, {FOLDED} as t from documents)
 select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
@@ -106,11 +110,39 @@ select doc_id, item_id, n_windows, matched, exact
 from best join sizes using (benchmark_row) where matched >= least(n_windows, {decontamination.MIN_WINDOWS})
 """
 
+_GRAMS = ", ".join(f"({n}, '{name}', {size}, '{gram}')" for n, name, size, gram in license_scan.template_bigrams(license_scan.TEMPLATES))
+
+OP10_SQL = f"""
+with known(template, licence, template_size, gram) as (values {_GRAMS}),
+units as (
+    select row, doc_id, unnest(list_distinct(list_concat(
+        string_split(text, chr(10)), string_split_regex(text, '{license_scan.BLANK_LINE}'), [text]))) as unit
+    from (select row_number() over () as row, doc_id, text from documents)
+), worded as (
+    select row_number() over () as unit, doc_id,
+           list_filter(string_split_regex(lower(unit), '{license_scan.BETWEEN_WORDS}'), lambda w: w <> '') as words
+    from units
+), sets as (
+    select unit, doc_id,
+           list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) as grams
+    from worded
+), met as (
+    select unit, doc_id, template, licence, 2.0::double * count(*) / (any_value(size) + any_value(template_size)) as dice
+    from (select unit, doc_id, len(grams) as size, unnest(grams) as gram from sets) join known using (gram)
+    group by 1, 2, 3, 4
+), best as (
+    select unit, doc_id, licence, dice from met where dice >= {license_scan.THRESHOLD}
+    qualify row_number() over (partition by unit order by dice desc, licence desc) = 1
+)
+select doc_id, licence, max(dice) as dice, count(*) as n_units from best group by 1, 2
+"""
+
 QUERIES = {
     "op1_sentencepiece_encode_decode": op1_sentencepiece_encode_decode,
     "op3_language_id": op3_language_id,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op10_license_scan": op10_license_scan,
 }
-ORACLES = {"op5_exact_dedup": OP5_SQL, "op6_benchmark_decontamination": OP6_SQL}
+ORACLES = {"op5_exact_dedup": OP5_SQL, "op6_benchmark_decontamination": OP6_SQL, "op10_license_scan": OP10_SQL}
