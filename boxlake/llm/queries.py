@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, license_scan, sentencepiece_fst, simhash
+from . import decontamination, exact_dedup, language_id, license_scan, pii, sentencepiece_fst, simhash, substring_dedup
 from .common import documents
 
 WORD_SPACE = r"[\x20\x09-\x0D]"
@@ -42,6 +42,52 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.matches(documents(spark, sf_dir), benchmark, ["doc_id"])
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+OP8_SQL = f"""
+with worded as (
+    select row_number() over () as row, doc_id,
+           list_filter(string_split_regex(coalesce(text, ''), '{WORD_SPACE}+'), lambda w: w <> '') as words
+    from documents
+), windows as (
+    select row, doc_id, p, array_to_string(list_slice(words, p, p + {substring_dedup.WINDOW - 1}), ' ') as w
+    from (select *, unnest(range(1, len(words) - {substring_dedup.WINDOW - 2})) as p from worded)
+), firsts as (select md5(w) as w, min(doc_id) as least from windows group by 1
+), gone as (
+    select row, list_distinct(flatten(list(range(p, p + {substring_dedup.WINDOW})))) as spots
+    from windows join firsts on md5(windows.w) = firsts.w where doc_id > least group by 1
+), cut as (
+    select doc_id, words, coalesce(spots, []) as spots from worded left join gone using (row)
+), kept as (
+    select doc_id, words, array_to_string(list_transform(list_filter(
+        list_zip(words, range(1, len(words) + 1)), lambda z: not list_contains(spots, z[2])), lambda z: z[1]), ' ') as stay, spots
+    from cut
+)
+select doc_id, len(words) as n_words, len(spots) as n_removed, sha256(stay) as kept_sha256 from kept
+"""
+
+
+def _listed(spans: str) -> Column:
+    told = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["stop"].cast("string")))
+    return F.array_join(told, ",")
+
+
+def _count_of(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs, pii.fit(docs))
+    return found.select(
+        "doc_id",
+        *[_count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"),
+    )
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
@@ -143,6 +189,13 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_pii": op9_pii,
     "op10_license_scan": op10_license_scan,
 }
-ORACLES = {"op5_exact_dedup": OP5_SQL, "op6_benchmark_decontamination": OP6_SQL, "op10_license_scan": OP10_SQL}
+ORACLES = {
+    "op5_exact_dedup": OP5_SQL,
+    "op6_benchmark_decontamination": OP6_SQL,
+    "op8_substring_dedup": OP8_SQL,
+    "op10_license_scan": OP10_SQL,
+}
