@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, license_scan, pii, sentencepiece_fst, simhash, substring_dedup
+from . import decontamination, exact_dedup, language_id, license_scan, pii, sentencepiece_fst, sharding, simhash, substring_dedup, token_counts
 from .common import documents
 
 WORD_SPACE = r"[\x20\x09-\x0D]"
@@ -16,6 +16,26 @@ def op1_sentencepiece_encode_decode(spark: SparkSession, sf_dir: str) -> DataFra
     return sentencepiece_fst.encode_and_decode(documents(spark, sf_dir))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", sharding.text_bytes().alias("n_bytes"))
+    return sharding.assign(docs)
+
+
+OP2_SQL = f"""
+with rows as (
+    select row_number() over () as row, doc_id, coalesce(strlen(text), 0) as n_bytes,
+           lpad(bin(('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint), 60, '0') as bits
+    from documents
+), nodes as (
+    select row, doc_id, n_bytes, substr(bits, 1, depth) as shard, depth, sum(n_bytes) over w as shard_bytes, count(*) over w as shard_rows
+    from rows, unnest(range(0, 61)) as depths(depth) window w as (partition by depth, substr(bits, 1, depth))
+)
+select doc_id, n_bytes, shard, depth, shard_bytes, shard_rows
+from nodes where shard_bytes <= {sharding.SHARD_BYTES} or shard_rows = 1
+qualify row_number() over (partition by row order by depth) = 1
+"""
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
@@ -42,6 +62,15 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.matches(documents(spark, sf_dir), benchmark, ["doc_id"])
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(documents(spark, sf_dir).select("doc_id", "text"))
+    edited = token_counts.update_counts(counted.withColumn("edits", token_counts.drawn_edits()))
+    return edited.select(
+        "doc_id", "n_tokens", F.col("new_tokens").alias("n_tokens_after"), F.size("leaf_chars").alias("n_leaves"),
+        "n_applied", "n_rejected", "n_reencoded", F.sha2("new_text", 256).alias("new_text_sha256"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
@@ -185,15 +214,18 @@ select doc_id, licence, max(dice) as dice, count(*) as n_units from best group b
 
 QUERIES = {
     "op1_sentencepiece_encode_decode": op1_sentencepiece_encode_decode,
+    "op2_sharding": op2_sharding,
     "op3_language_id": op3_language_id,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_token_counts": op7_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_license_scan": op10_license_scan,
 }
 ORACLES = {
+    "op2_sharding": OP2_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
     "op8_substring_dedup": OP8_SQL,
