@@ -27,7 +27,7 @@ with rows as (
            lpad(bin(('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint), 60, '0') as bits
     from documents
 ), nodes as (
-    select row, doc_id, n_bytes, substr(bits, 1, depth) as shard, depth, sum(n_bytes) over w as shard_bytes, count(*) over w as shard_rows
+    select row, doc_id, n_bytes, substr(bits, 1, depth) as shard, depth, (sum(n_bytes) over w)::bigint as shard_bytes, count(*) over w as shard_rows
     from rows, unnest(range(0, 61)) as depths(depth) window w as (partition by depth, substr(bits, 1, depth))
 )
 select doc_id, n_bytes, shard, depth, shard_bytes, shard_rows
