@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from boxlake.functions.pixels import encode_png
 from boxlake.operators.anchors import N_ANCHORS
 from boxlake.operators.annotations import parse_labels
-from boxlake.operators.batching import spread_scan
 
 IMAGES = """
 select concat('img_', cast(o_orderkey as string)) as image_name,
@@ -84,7 +83,7 @@ from {events}
 LEGACY_HISTORY = """
 select cast(ts as string) as timestamp, concat('img_', cast(event_id as string), '.jpg') as image_name, '1' as nb_plates,
  '[]' as detections, 'success' as status,
- case event_type when 'click' then '/9j/4AAQ' when 'view' then 'not base64!' when 'signup' then 'aGVsbG8='
+ case event_type when 'click' then concat('/9j/', lpad(cast(event_id % 10000 as string), 4, '0')) when 'view' then 'not base64!' when 'signup' then 'aGVsbG8='
   when 'purchase' then concat('images/2026/', cast(event_id as string), '_orig.jpg') else '' end as original_image_path,
  case when event_type = 'purchase' then concat('images/2026/', cast(event_id as string), '_ann.jpg') end as annotated_image_path
 from {events}
@@ -100,6 +99,11 @@ def view(spark: SparkSession, sf_dir: str, text: str, name: str) -> DataFrame:
     return spark.sql(text, **{name: table(spark, sf_dir, name)})
 
 
+def _spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """By key over the cores: the rows made from these keys are many times larger than the keys."""
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, UPLOADS, "events")
 
@@ -123,7 +127,7 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pa.array(out, pa.binary())
 
     paint = paint.asNondeterministic()
-    rows = spread_scan(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id")
+    rows = _spread(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id")
     across, down = (F.col("vec_id") % 5 + 2).cast("int"), (F.col("vec_id") % 3 + 2).cast("int")
     content = paint("embedding", across, down)
     cut = F.when(F.col("vec_id") % 11 == 0, F.substring("content", 1, 60)).otherwise(F.col("content"))
@@ -139,7 +143,7 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    lines = spark.sql(LABEL_LINES, lineitem=spread_scan(keys, "l_orderkey"))
+    lines = spark.sql(LABEL_LINES, lineitem=_spread(keys, "l_orderkey"))
     # as read from a file: the generator keeps the text from being composed again by every use of it
     return lines.select(F.inline(F.array(F.struct("image_name", "value"))))
 
@@ -158,7 +162,7 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long predictions: one row per image and anchor."""
-    rows = spread_scan(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select(
+    rows = _spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select(
         "c_custkey", F.explode(F.sequence(F.lit(0), F.lit(N_ANCHORS - 1))).alias("anchor_id")
     )
     values = [F.expr(t.format(k="c_custkey", a="anchor_id")).alias(n) for n, t in PRED_COLUMNS.items()]
@@ -179,7 +183,7 @@ def predictions_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return run.asNondeterministic()(F.col("c_custkey"))
 
-    return spread_scan(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select(
+    return _spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select(
         F.concat(F.lit("img_"), F.col("c_custkey").cast("string")).alias("image_name"),
         fill(["logit0", "logit1"]).alias("logits"),
         fill(["dx", "dy", "dw", "dh"]).alias("deltas"),

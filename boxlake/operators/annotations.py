@@ -1,8 +1,7 @@
 """Annotation operators: label lines -> boxes -> per-image targets.
 
 Box work is done on long rows (one row per box), so that an image with very many boxes is
-just many rows that Spark can split. Arrays per image are made only where the stored
-training row needs them, and then in parts of bounded size.
+just many rows that Spark can split. Arrays per image are made only in padded examples.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from boxlake.functions import geometry as G
 from boxlake.schema import BOX_FIELDS, IMAGE_SIZE
 
 KEYS = ("split_name", "image_name")
-MAX_BOXES_PER_ROW = 65_536
 
 
 def _fields(parts: Column) -> dict[str, Column]:
@@ -60,44 +58,13 @@ def label_rejects(lines: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def build_bboxes(
-    labels: DataFrame, on: Sequence[str] = KEYS, max_boxes: int = MAX_BOXES_PER_ROW
-) -> DataFrame:
-    """Per image three aligned arrays: classes, boxes and a mask of ones, in box order.
+def build_bboxes(labels: DataFrame, on: Sequence[str] = KEYS) -> DataFrame:
+    """The stored targets: one row per box with its class, corners and a mask of 1.
 
-    An image with up to `max_boxes` boxes gives one row, `part` 0. A larger one gives several
-    rows of about that size, so no task ever holds one huge array. Copies of a line are counted
-    before the shuffle, then spread over the parts in pieces; no box is lost.
+    Rows at every size: an image with very many boxes is many rows, and nothing is shuffled. Arrays per image
+    are made by `batching.pad_targets`, whose width is an argument.
     """
-    on = list(on)
-    copies = labels.groupBy(*on, *BOX_FIELDS).agg(F.count(F.lit(1)).alias("copies"))
-    large = (
-        copies.groupBy(*on).agg(F.sum("copies").alias("n_boxes"))
-        .where(F.col("n_boxes") > F.lit(max_boxes))
-        .select(*on, F.ceil(F.col("n_boxes") / F.lit(max_boxes)).alias("parts"))
-    )
-    last_piece = F.floor((F.col("copies") - 1) / F.lit(max_boxes))
-    held = F.least(F.lit(max_boxes).cast("long"), F.col("copies") - F.col("piece") * F.lit(max_boxes))
-    pieces = copies.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
-    placed = pieces.join(large, on, "left").select(
-        *on,
-        *BOX_FIELDS,
-        held.cast("int").alias("held"),
-        F.coalesce(F.pmod(F.xxhash64(*BOX_FIELDS, "piece"), F.col("parts")), F.lit(0).cast("long"))
-        .alias("part"),
-    )
-    # by part as well: partitioned by image alone, all parts of an image would meet in one task
-    grouped = placed.repartition(*on, "part").groupBy(*on, "part").agg(
-        F.array_sort(F.collect_list(F.struct(*BOX_FIELDS, "held"))).alias("found")
-    )
-    boxes = F.flatten(F.transform("found", lambda b: F.array_repeat(b, b["held"])))
-    return grouped.withColumn("boxes", boxes).select(
-        *on,
-        "part",
-        F.transform("boxes", lambda b: b["class_id"]).alias("cls_targets"),
-        F.transform("boxes", lambda b: F.array(b["cx"], b["cy"], b["w"], b["h"])).alias("reg_targets"),
-        F.transform("boxes", lambda b: F.lit(1.0)).alias("pos_mask"),
-    )
+    return labels.select(*on, *BOX_FIELDS, F.lit(1.0).alias("pos_mask"))
 
 
 def nulls_to_empty(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -109,33 +76,26 @@ def nulls_to_empty(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def join_images_boxes(images: DataFrame, bboxes: DataFrame, on: Sequence[str] = KEYS) -> DataFrame:
-    """Left join of images and their box arrays: unlabeled images stay, orphan labels go.
+    """Left join of images and boxes: a row per box, a row of nulls per unlabeled image; orphan labels go.
 
-    Joining on `image_name` alone is the compatibility form; equal names in two splits
-    then share their boxes.
+    Pass images without pixels, which are stored once per image in a table of their own. An inner join and an
+    anti join, for Spark can split a crowded key on either side of the inner join, but not on the right of a
+    left join. Joining on `image_name` alone is the compatibility form; equal names in two splits then share
+    their boxes.
     """
-    joined = images.join(bboxes, list(on), "left")
-    if "part" in bboxes.columns:
-        joined = joined.withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
-    return nulls_to_empty(joined, ["cls_targets", "reg_targets", "pos_mask"])
+    on = list(on)
+    full = images.join(bboxes, on, "inner")
+    return full.unionByName(unlabeled_images(images, bboxes, on), allowMissingColumns=True)
 
 
 def num_boxes(labels: DataFrame, on: Sequence[str] = KEYS) -> DataFrame:
     return labels.groupBy(*on).agg(F.count(F.lit(1)).alias("num_boxes"))
 
 
-def box_rows(images: DataFrame, labels: DataFrame, on: Sequence[str] = KEYS) -> DataFrame:
-    """The left join in long form: one row per box, one row of nulls per unlabeled image.
-
-    Box counts are joined first (one row per image), then boxes by an inner join, whose
-    crowded keys Spark may split on either side; a left join could not split its right side.
-    """
+def counted_boxes(images: DataFrame, labels: DataFrame, on: Sequence[str] = KEYS) -> DataFrame:
+    """One row per box of a labeled image, with the number of boxes of its image."""
     on = list(on)
-    counted = images.join(num_boxes(labels, on), on, "left")
-    empty = counted.where(F.col("num_boxes").isNull())
-    full = counted.where(F.col("num_boxes").isNotNull()).join(labels, on, "inner")
-    rows = full.unionByName(empty, allowMissingColumns=True)
-    return rows.withColumn("num_boxes", F.coalesce("num_boxes", F.lit(0).cast("long")))
+    return images.join(num_boxes(labels, on), on).join(labels, on)
 
 
 def unlabeled_images(images: DataFrame, labels: DataFrame, on: Sequence[str] = KEYS) -> DataFrame:
@@ -187,20 +147,21 @@ def count_images(images: DataFrame, batch_size: int) -> DataFrame:
 
 
 def dataset_stats(images: DataFrame, features: DataFrame, by_split: bool = False) -> DataFrame:
-    """Images, boxes, mean aspect ratio and mean normalised area, from images and feature rows.
+    """Images (distinct names), boxes, mean aspect ratio and mean normalised area, from images and feature rows.
 
-    Images and boxes are stacked and summed in one pass, without bringing the boxes of an image together.
+    Images and boxes are stacked and summed in one pass, without bringing the boxes of an image together. A name that
+    two splits share counts once in each and once in the total.
     """
     none = F.lit(None).cast("double")
     counted = images.select(
-        "split_name", F.lit(1).alias("image"), F.lit(0).alias("box"), none.alias("aspect"), none.alias("area")
+        "split_name", F.col("image_name").alias("image"), F.lit(0).alias("box"), none.alias("aspect"), none.alias("area")
     ).unionByName(features.where(F.col("cx").isNotNull()).select(
-        "split_name", F.lit(0).alias("image"), F.lit(1).alias("box"),
+        "split_name", F.lit(None).cast("string").alias("image"), F.lit(1).alias("box"),
         F.col("aspect_ratio").alias("aspect"), F.col("bbox_area_norm").alias("area"),
     ))
     grouped = counted.rollup("split_name") if by_split else counted.groupBy()
     return grouped.agg(
-        F.sum("image").alias("total_images"),
+        F.countDistinct("image").alias("total_images"),
         F.sum("box").alias("total_boxes"),
         F.avg("aspect").alias("avg_aspect_ratio"),
         F.avg("area").alias("avg_bbox_area_norm"),

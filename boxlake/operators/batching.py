@@ -18,17 +18,11 @@ KEY_FACTOR = 48271
 
 
 def repartition_batch(frame: DataFrame) -> DataFrame:
-    """Spread the rows evenly over the cores; used before work that is heavy per row."""
-    return frame.repartition(max(1, frame.sparkSession.sparkContext.defaultParallelism))
-
-
-def spread_scan(frame: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer splits than there are cores by its keys; a larger one stays as it is.
-
-    For frames that only scan and project: the number of splits is then known without running anything.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores, *keys) if frame.rdd.getNumPartitions() < cores else frame
+    """Spread the rows evenly, before work that is heavy per row: over as many tasks as a shuffle is planned with, at
+    least one per core."""
+    spark = frame.sparkSession
+    planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(max(1, planned, spark.sparkContext.defaultParallelism))
 
 
 def spread_by(frame: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -57,15 +51,19 @@ def with_ordinal(
 ) -> DataFrame:
     """Adds `ordinal`, 0 for the first row of each `by` group in (key, tie) order.
 
-    Rows are numbered inside buckets of the key range and every bucket starts where the ones
+    Rows are numbered inside buckets of the key range of their group and every bucket starts where the ones
     before it end. A group that holds most of the table is therefore numbered by many tasks.
-    `key` must be spread over 0..KEY_BOUND, as the keys above are.
+    `key` must be a whole number that is spread about evenly between its extremes, as the keys above
+    and row numbers are.
     """
     by = list(by)
-    width = -(-KEY_BOUND // buckets)
-    keyed = frame.withColumn("order_key", key).withColumn(
-        "bucket", F.floor(F.col("order_key") / F.lit(width))
-    )
+    frame = frame if by else frame.withColumn("ordinal_group", F.lit(0))
+    group = by or ["ordinal_group"]
+    keyed = frame.withColumn("order_key", key)
+    extremes = keyed.groupBy(*group).agg(F.min("order_key").alias("least_key"), F.max("order_key").alias("most_key"))
+    keyed = keyed.join(extremes, group).withColumn(
+        "bucket", F.floor((F.col("order_key") - F.col("least_key")) * F.lit(buckets) / (F.col("most_key") - F.col("least_key") + 1))
+    ).drop("least_key", "most_key", "ordinal_group")
     before = W.partitionBy(*by).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         keyed.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("held"))
@@ -80,10 +78,11 @@ def with_ordinal(
 
 
 def make_batches(
-    images: DataFrame, key: Column, tie: Sequence[str] = ("image_name",), batch_size: int = BATCH_SIZE
+    images: DataFrame, key: Column, order: Column, tie: Sequence[str] = ("image_name",), batch_size: int = BATCH_SIZE
 ) -> DataFrame:
-    """Batch number per split in key order; the last batch may be short."""
-    numbered = with_ordinal(images, key, tie, by=["split_name"])
+    """Batch number per split: the train split in key order, the others in table `order`; the last batch may be short."""
+    place = F.when(F.col("split_name") == "train", key).otherwise(order)
+    numbered = with_ordinal(images, place, tie, by=["split_name"])
     return numbered.withColumn("batch_id", F.floor(F.col("ordinal") / F.lit(batch_size)))
 
 

@@ -51,8 +51,8 @@ def history_view(history: DataFrame) -> DataFrame:
     )
 
 
-def history_stats(history: DataFrame, newest: int | None = STATS_ROWS) -> DataFrame:
-    """Predictions and plates in total, over the newest rows or (`newest=None`) over all."""
+def history_stats(history: DataFrame, newest: int | None = None) -> DataFrame:
+    """Predictions and plates in total, over all rows or the `newest` ones (the service shows STATS_ROWS)."""
     rows = history if newest is None else history.orderBy(*_newest()).limit(newest)
     return rows.agg(
         F.count(F.lit(1)).alias("total_predictions"),
@@ -142,15 +142,16 @@ def migrate_history(legacy: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Takes rows read with the seven-column schema. A row that already has a seventh field, or a sixth
     that is a stored path, is in the new layout and keeps its paths. Returns the history and an artifact table (path, content) for
-    the images taken out of the rows; on equal paths the last row wins.
+    the images taken out of the rows.
     """
     has_seven = F.col("annotated_image_path").isNotNull()
     is_path = F.coalesce(F.col("original_image_path").startswith("images/"), F.lit(False))
     content = F.when(~has_seven & ~is_path, payload_bytes(F.col("original_image_path")))
     stamp = F.date_format(F.try_to_timestamp("timestamp"), "yyyyMMdd_HHmmss")
     folder = F.concat(F.lit("images/runs/migrated"), F.coalesce(F.concat(F.lit("_"), stamp), F.lit("_migrated")))
-    target = F.concat(folder, F.lit("/migrated_ann.jpg"))
-    staged = legacy.withColumns({"content": content, "target": target})
+    # named by content as well: images of one second keep apart, equal ones share a file
+    target = F.concat(folder, F.lit("/migrated_"), F.substring(F.sha2("content", 256), 1, 16), F.lit("_ann.jpg"))
+    staged = legacy.withColumn("content", content).withColumn("target", target)
     empty = F.lit("")
     history = staged.select(
         "timestamp", "image_name", "nb_plates", "detections", "status",
@@ -162,7 +163,7 @@ def migrate_history(legacy: DataFrame) -> tuple[DataFrame, DataFrame]:
     artifacts = (
         staged.where(F.col("content").isNotNull())
         .groupBy(F.col("target").alias("path"))
-        .agg(F.max_by("content", F.struct("timestamp", "image_name", F.xxhash64("content"))).alias("content"))
+        .agg(F.first("content").alias("content"))
     )
     return history, artifacts
 

@@ -126,7 +126,8 @@ select image_name, max(n_gt) as n_gt, max(n_pos) as n_pos,
 from fx_hard group by image_name
 """,
     "fx_batches": f"""
-select *, (row_number() over (partition by split_name order by (image_no * {B.KEY_FACTOR} + {SEED}) % {B.KEY_BOUND}, image_name) - 1) as ordinal
+select *, (row_number() over (partition by split_name order by
+ case when split_name = 'train' then (image_no * {B.KEY_FACTOR} + {SEED}) % {B.KEY_BOUND} else image_no end, image_name) - 1) as ordinal
 from fx_images
 """,
     "fx_batch_loss": """
@@ -212,43 +213,29 @@ def _(spark, d):
     return A.label_rejects(X.label_lines(spark, d))
 
 
-@query("build_bboxes", f"select image_name, pos, {r('class_id, cx, cy, w, h')}, 1.0::double as mask from fx_ranked_labels")
+@query("build_bboxes", f"select image_name, {r('class_id, cx, cy, w, h')}, 1.0::double as pos_mask from fx_labels")
 def _(spark, d):
-    boxes = A.build_bboxes(X.labels(spark, d), ON)
-    rows = boxes.select("image_name", F.posexplode(F.arrays_zip("cls_targets", "reg_targets", "pos_mask")).alias("pos", "b"))
-    out = rows.select(
-        "image_name", "pos", F.col("b.cls_targets").alias("class_id"),
-        *[F.get("b.reg_targets", F.lit(i)).alias(n) for i, n in enumerate(BOX)], F.col("b.pos_mask").alias("mask"),
-    )
-    return rounded(out, 6, "class_id", *BOX)
+    return rounded(A.build_bboxes(X.labels(spark, d), ON), 6, "class_id", *BOX)
 
 
-@query("join_images_boxes", """
-select i.image_name, i.split_name, count(l.cx)::int as n_boxes, round(coalesce(sum(l.cx), 0), 6) as sum_cx, round(coalesce(sum(l.h), 0), 6) as sum_h
-from fx_images i left join fx_labels l using (image_name) group by 1, 2""")
+@query("join_images_boxes", f"""
+select i.image_name, i.split_name, {r('cx, cy, w, h')}, case when cx is not null then 1.0::double end as pos_mask
+from fx_images i left join fx_labels l using (image_name)""")
 def _(spark, d):
     joined = A.join_images_boxes(X.images(spark, d), A.build_bboxes(X.labels(spark, d), ON), ON)
-
-    def total(i: int):
-        return F.aggregate("reg_targets", F.lit(0.0), lambda t, b: t + F.get(b, F.lit(i)).cast("double"))
-
-    out = joined.select(
-        "image_name", "split_name", F.size("cls_targets").alias("n_boxes"), total(0).alias("sum_cx"), total(3).alias("sum_h")
-    )
-    return rounded(out, 6, "sum_cx", "sum_h")
+    return rounded(joined.select("image_name", "split_name", "pos_mask", *BOX), 6, *BOX)
 
 
 @query("nulls_to_empty", """
-select i.image_name, count(l.cx)::int as n_cls, count(l.cx)::int as n_reg, count(l.cx)::int as n_mask
+select i.image_name, least(count(l.cx), 20)::int as n_cls, least(count(l.cx), 20)::int as n_mask
 from fx_images i left join fx_labels l using (image_name) group by 1""")
 def _(spark, d):
-    arrays = A.build_bboxes(X.labels(spark, d), ON)
-    joined = X.images(spark, d).join(arrays, ON, "left")
-    filled = A.nulls_to_empty(joined, ["cls_targets", "reg_targets", "pos_mask"])
-    return filled.select(
-        "image_name", F.size("cls_targets").alias("n_cls"), F.size("reg_targets").alias("n_reg"),
-        F.size("pos_mask").alias("n_mask"),
+    """The first 20 boxes of an image as arrays, the width of a padded example."""
+    arrays = B.first_objects(A.build_bboxes(X.labels(spark, d), ON), ON).groupBy(*ON).agg(
+        F.collect_list("class_id").alias("cls_targets"), F.collect_list("pos_mask").alias("pos_mask")
     )
+    filled = A.nulls_to_empty(X.images(spark, d).join(arrays, ON, "left"), ["cls_targets", "pos_mask"])
+    return filled.select("image_name", F.size("cls_targets").alias("n_cls"), F.size("pos_mask").alias("n_mask"))
 
 
 @query("unlabeled_images", "select image_name, split_name from fx_images where image_name not in (select image_name from fx_labels)")
@@ -257,11 +244,13 @@ def _(spark, d):
 
 
 @query("orphan_labels", f"""
-select image_name, {r('cx, cy, w, h')} from fx_labels
-where image_name not in (select image_name from fx_images where split_name <> 'test')""")
+select concat(image_name, '_lost') as image_name, {r('cx, cy, w, h')} from fx_labels where floor(cx * 1000)::int % 9 = 0""")
 def _(spark, d):
-    known = X.images(spark, d).where(F.col("split_name") != "test")
-    return rounded(A.orphan_labels(known, X.labels(spark, d), ON).drop("class_id"), 6, *BOX)
+    """Labels of every ninth column carry a name that no image has."""
+    lost = F.floor(F.col("cx").cast("double") * 1000) % 9 == 0
+    names = F.when(lost, F.concat("image_name", F.lit("_lost"))).otherwise(F.col("image_name"))
+    labels = X.labels(spark, d).withColumn("image_name", names)
+    return rounded(A.orphan_labels(X.images(spark, d), labels, ON).drop("class_id"), 6, *BOX)
 
 
 @query("num_boxes", "select image_name, count(*) as num_boxes from fx_labels group by 1")
@@ -307,15 +296,16 @@ def _(spark, d):
 @query("transform_boxes", f"select image_name, {r('cx, cy, w, h')} from fx_moved where cx is not null")
 def _(spark, d):
     joined = A.join_images_boxes(A.with_letterbox(X.images(spark, d)), A.build_bboxes(X.labels(spark, d), ON), ON)
-    moved = G.transform_boxes(F.col("reg_targets"), F.col("scale"), F.col("pad_x"), F.col("pad_y"))
-    rows = joined.select("image_name", F.explode(moved).alias("b"))
+    one = F.array(F.array(*[F.col(c).cast("double") for c in BOX]))
+    moved = G.transform_boxes(one, F.col("scale"), F.col("pad_x"), F.col("pad_y"))
+    rows = joined.where(F.col("cx").isNotNull()).select("image_name", F.explode(moved).alias("b"))
     out = rows.select("image_name", *[F.get("b", F.lit(i)).alias(n) for i, n in enumerate(BOX)])
     return rounded(out, 6, *BOX)
 
 
 def _moved_rows(spark, d) -> DataFrame:
     fitted = A.with_letterbox(X.images(spark, d))
-    return A.transform_box_rows(A.box_rows(fitted, X.labels(spark, d), ON).where("num_boxes > 0"))
+    return A.transform_box_rows(fitted.join(X.labels(spark, d), ON))
 
 
 def _back_sql(v: str, pad: str, side: str, name: str) -> str:
@@ -366,7 +356,7 @@ select image_name, round(inter / greatest(a + b - inter, 1e-6), 6) as iou from (
 def _(spark, d):
     """Overlap of each box with its letterboxed self."""
     fitted = A.with_letterbox(X.images(spark, d))
-    rows = A.box_rows(fitted, X.labels(spark, d), ON).where("num_boxes > 0")
+    rows = fitted.join(X.labels(spark, d), ON)
     box = G.Box(*[F.col(c).cast("double") for c in BOX])
     moved = G.transform_box(box, F.col("pad_x"), F.col("pad_y"))
     iou = G.box_iou(G.cxcywh_to_xyxy(box), G.cxcywh_to_xyxy(moved))
@@ -418,7 +408,7 @@ def _key():
 
 @query("make_batches", "select image_name, split_name, ordinal, ordinal // 16 as batch_id from fx_batches")
 def _(spark, d):
-    return B.make_batches(X.images(spark, d), _key()).select("image_name", "split_name", "ordinal", "batch_id")
+    return B.make_batches(X.images(spark, d), _key(), F.col("image_no")).select("image_name", "split_name", "ordinal", "batch_id")
 
 
 @query("image_at", f"""
@@ -505,13 +495,12 @@ def _(spark, d):
     return rounded(agg, 4, "sum_cx")
 
 
-@query("read_training_table", f"select image_name, {r('cx, cy, w, h', 9)} from fx_moved where split_name = 'valid'")
+@query("read_training_table", f"select image_name, split_name, {r('cx, cy, w, h', 9)} from fx_moved")
 def _(spark, d):
     out = scratch_dir(spark, "training")
     rows = preprocess.train_ready(X.images(spark, d), X.label_lines(spark, d), ON)
     sinks.export_splits(rows.select("image_name", "split_name", "split_id", *BOX), out)
-    back = files.read_training_table(spark, out).where(F.col("split_name") == "valid")
-    return rounded(back.select("image_name", *BOX), 9, *BOX)
+    return rounded(files.read_training_table(spark, out).select("image_name", "split_name", *BOX), 9, *BOX)
 
 
 # ---------------------------------------------------------------- anchors
@@ -574,16 +563,24 @@ def _(spark, d):
 
 
 def _fold(rows: DataFrame, digits: int, *names: str) -> DataFrame:
-    """Count, sum and extremes of columns per image."""
+    """Count, sum, extremes and two sums weighted by anchor of columns per image; exchanged values change the weighted sums."""
+    def weighted(power: int):
+        return lambda n: F.sum(F.col(n).cast("double") * (F.col("anchor_id") * F.lit(37) % F.lit(101) + 1) ** power)
+
+    kinds = {"sum": F.sum, "min": F.min, "max": F.max, "by_anchor": weighted(1), "by_square": weighted(2)}
     out = rows.groupBy("image_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[f(n).alias(f"{k}_{n}") for n in names for k, f in (("sum", F.sum), ("min", F.min), ("max", F.max))],
+        F.count(F.lit(1)).alias("n"), *[f(n).alias(f"{k}_{n}") for n in names for k, f in kinds.items()],
     )
-    return rounded(out, digits, *[f"{k}_{n}" for n in names for k in ("sum", "min", "max")])
+    return rounded(out, digits, *[f"{k}_{n}" for n in names for k in kinds])
 
 
 def _fold_sql(source: str, digits: int, *names: str) -> str:
-    cells = ", ".join(f"round({k}({n}::double), {digits}) as {k}_{n}" for n in names for k in ("sum", "min", "max"))
+    cells = ", ".join(
+        f"round({k}({n}::double), {digits}) as {k}_{n}" for n in names for k in ("sum", "min", "max")
+    ) + "".join(
+        f", round(sum({n}::double * power(anchor_id * 37 % 101 + 1, {power})), {digits}) as {k}_{n}"
+        for n in names for power, k in ((1, "by_anchor"), (2, "by_square"))
+    )
     return f"select image_name, count(*) as n, {cells} from {source} group by image_name"
 
 
@@ -595,20 +592,20 @@ def _(spark, d):
 @query("softmax_score", _fold_sql("fx_decoded", 6, "score"))
 def _(spark, d):
     preds = X.predictions(spark, d)
-    return _fold(preds.select("image_name", G.softmax_score(F.col("logit0"), F.col("logit1")).alias("score")), 6, "score")
+    return _fold(preds.select("image_name", "anchor_id", G.softmax_score(F.col("logit0"), F.col("logit1")).alias("score")), 6, "score")
 
 
 @query("decode_boxes", _fold_sql("fx_decoded", 6, "cx", "cy", "w", "h"))
 def _(spark, d):
     box = G.decode_boxes(G.Box.of("dx", "dy", "dw", "dh"), N.anchor_box(F.col("anchor_id")))
-    return _fold(X.predictions(spark, d).select("image_name", *box.named(*BOX)), 6, *BOX)
+    return _fold(X.predictions(spark, d).select("image_name", "anchor_id", *box.named(*BOX)), 6, *BOX)
 
 
 @query("clip_boxes", _fold_sql("fx_decoded", 6, "x1", "y1", "x2", "y2"))
 def _(spark, d):
     box = G.decode_boxes(G.Box.of("dx", "dy", "dw", "dh"), N.anchor_box(F.col("anchor_id")))
     corners = G.clip_boxes(G.cxcywh_to_xyxy(box))
-    return _fold(X.predictions(spark, d).select("image_name", *corners.named(*D.CORNERS)), 6, *D.CORNERS)
+    return _fold(X.predictions(spark, d).select("image_name", "anchor_id", *corners.named(*D.CORNERS)), 6, *D.CORNERS)
 
 
 @query("score_filter", _fold_sql("(select * from fx_decoded where score > 0.5)", 6, "score", "x1", "y2"))
@@ -697,7 +694,7 @@ def _(spark, d):
 
 
 def _batch_losses(spark, d) -> DataFrame:
-    return evaluate.batch_losses(X.images(spark, d), X.predictions_wide(spark, d), X.labels(spark, d), _key())
+    return evaluate.batch_losses(X.images(spark, d), X.predictions_wide(spark, d), X.labels(spark, d), _key(), F.col("image_no"))
 
 
 @query("batch_loss", f"select split_name, batch_id, n_images, {r('cls_loss, reg_loss, loss')} from fx_batch_loss")
@@ -773,12 +770,12 @@ def _(spark, d):
 select count(*) as total_predictions, sum(nb_plates)::bigint as total_plates
 from (select nb_plates from fx_history order by timestamp desc, event_id desc limit 1000)""")
 def _(spark, d):
-    return H.history_stats(X.history(spark, d))
+    return H.history_stats(X.history(spark, d), newest=H.STATS_ROWS)
 
 
 @query("history_totals", "select count(*) as total_predictions, sum(nb_plates)::bigint as total_plates from fx_history")
 def _(spark, d):
-    return H.history_stats(X.history(spark, d), newest=None)
+    return H.history_stats(X.history(spark, d))
 
 
 @query("history_by_run", """
@@ -812,7 +809,7 @@ def _(spark, d):
     root = scratch_dir(spark, "hourly")
     X.history(spark, d).select("timestamp", "nb_plates", "status").write.parquet(f"{root}/history")
     stored = spark.readStream.schema("timestamp timestamp_ntz, nb_plates int, status string").parquet(f"{root}/history")
-    inbox.drain_to_table(inbox.hourly_counts(stored), f"{root}/counts", f"{root}/state")
+    inbox.drain_to_table(inbox.hourly_counts(stored, "1 hour"), f"{root}/counts", f"{root}/state")
     counts = inbox.latest_counts(spark, f"{root}/counts")
     return counts.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
@@ -828,8 +825,9 @@ def _(spark, d):
 
 @query("migrate_history", """
 select l.image_name, l.nb_plates, l.status, case when l.original_image_path like 'images/%' then l.original_image_path else '' end as original_image_path,
- case when l.annotated_image_path is not null then l.annotated_image_path when l.original_image_path = '/9j/4AAQ'
-  then concat('images/runs/migrated_', strftime(cast(l.timestamp as timestamp), '%Y%m%d_%H%M%S'), '/migrated_ann.jpg') else '' end as annotated_image_path
+ case when l.annotated_image_path is not null then l.annotated_image_path when l.original_image_path like '/9j/%'
+  then concat('images/runs/migrated_', strftime(cast(l.timestamp as timestamp), '%Y%m%d_%H%M%S'), '/migrated_',
+   substr(sha256(from_base64(l.original_image_path)), 1, 16), '_ann.jpg') else '' end as annotated_image_path
 from fx_legacy l""")
 def _(spark, d):
     moved, _artifacts = H.migrate_history(X.legacy_history(spark, d))
@@ -837,8 +835,9 @@ def _(spark, d):
 
 
 @query("migrated_artifacts", """
-select distinct concat('images/runs/migrated_', strftime(cast(timestamp as timestamp), '%Y%m%d_%H%M%S'), '/migrated_ann.jpg') as path, 'FFD8FFE00010' as content
-from fx_legacy where original_image_path = '/9j/4AAQ'""")
+select distinct concat('images/runs/migrated_', strftime(cast(timestamp as timestamp), '%Y%m%d_%H%M%S'), '/migrated_',
+ substr(sha256(from_base64(original_image_path)), 1, 16), '_ann.jpg') as path, hex(from_base64(original_image_path)) as content
+from fx_legacy where original_image_path like '/9j/%'""")
 def _(spark, d):
     _moved, artifacts = H.migrate_history(X.legacy_history(spark, d))
     return artifacts.withColumn("content", F.hex("content"))
@@ -846,13 +845,13 @@ def _(spark, d):
 
 @query("append_history", "select status, count(*) as n, sum(nb_plates)::bigint as plates from fx_history group by 1")
 def _(spark, d):
-    """Two batches, the second written twice, as after a failure."""
+    """Two writers with equal batch numbers, one of which writes a batch twice, as after a failure."""
     out = scratch_dir(spark, "history")
     rows = _history_table(spark, d)
     failed = F.col("status") != "success"
-    sinks.append_history(rows.where(~failed), out, 0)
+    sinks.append_history(rows.where(~failed), out, "first", 0)
     for _attempt in range(2):
-        sinks.append_history(rows.where(failed), out, 1)
+        sinks.append_history(rows.where(failed), out, "second", 0)
     back = sinks.read_history(spark, out, HISTORY_SCHEMA)
     return back.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("nb_plates").alias("plates"))
 
@@ -860,11 +859,15 @@ def _(spark, d):
 @query("purge_history", "select count(*) as n_before, 0::bigint as n_after from fx_history")
 def _(spark, d):
     out = scratch_dir(spark, "purged")
-    sinks.append_history(_history_table(spark, d), out, 0)
-    before = spark.createDataFrame([(sinks.read_history(spark, out, HISTORY_SCHEMA).count(),)], "n_before bigint")
+    sinks.append_history(_history_table(spark, d), out, "only", 0)
+    before = sinks.read_history(spark, out, HISTORY_SCHEMA).select(F.lit(1).alias("before"), F.lit(0).alias("after"))
+    counted = scratch_dir(spark, "purged-count")
+    before.write.parquet(counted)
     sinks.purge_history(spark, out, HISTORY_SCHEMA)
-    after = sinks.read_history(spark, out, HISTORY_SCHEMA).agg(F.count(F.lit(1)).alias("n_after"))
-    return before.join(after, F.lit(True))
+    after = sinks.read_history(spark, out, HISTORY_SCHEMA).select(F.lit(0).alias("before"), F.lit(1).alias("after"))
+    return spark.read.parquet(counted).unionByName(after).agg(
+        F.sum("before").alias("n_before"), F.sum("after").alias("n_after")
+    )
 
 
 @query("artifact_paths", """
@@ -1090,13 +1093,8 @@ select image_name, split_name, l.class_id, round(l.cx * (1 - 2 * pad_x) + pad_x,
 def _(spark, d):
     out = scratch_dir(spark, "preprocessed")
     preprocess.preprocess(spark, _image_tree(spark, d), out)
-    table = files.read_training_table(spark, out)
-    rows = table.select("image_name", "split_name", F.inline(F.arrays_zip("cls_targets", "reg_targets")))
-    boxes = rows.select(
-        "image_name", "split_name", F.col("cls_targets").cast("double").alias("class_id"),
-        F.get("reg_targets", F.lit(0)).alias("cx"), F.get("reg_targets", F.lit(3)).alias("h"),
-    )
-    return rounded(boxes, 5, "cx", "h")
+    boxes = files.read_training_table(spark, f"{out}/boxes")
+    return rounded(boxes.select("image_name", "split_name", F.col("class_id").cast("double").alias("class_id"), "cx", "h"), 5, "cx", "h")
 
 
 @query("score_inbox_stream", f"""

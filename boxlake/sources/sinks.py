@@ -26,14 +26,10 @@ def export_splits(frame: DataFrame, path: str, files_per_split: int | None = Non
     frame.drop("split_id").write.partitionBy("split_name").mode("overwrite").parquet(path)
 
 
-def export_features_csv(features: DataFrame, path: str) -> None:
-    """Flat feature table as CSV."""
-    features.write.mode("overwrite").option("header", True).csv(path)
-
-
-def append_history(rows: DataFrame, path: str, batch_id: str | int) -> None:
-    """One folder per batch, replaced when the batch is written again; so a replay adds nothing."""
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+def append_history(rows: DataFrame, path: str, writer: str, batch_id: str | int) -> None:
+    """One folder per writer and batch, replaced when the writer writes the batch again; so a replay adds nothing and
+    writers never touch each other's batches."""
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/writer={writer}/batch_id={batch_id}")
 
 
 def append_history_csv(rows: DataFrame, path: str) -> None:
@@ -54,18 +50,32 @@ def purge_history(spark: SparkSession, path: str, schema: str) -> None:
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def write_artifacts(artifacts: DataFrame, path: str, batch_id: str | int) -> None:
-    """(path, content) rows as a table; a few large files instead of very many small ones."""
-    artifacts.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+def store_predictions(wide: DataFrame, name: str, path: str, buckets: int, on: str = "image_name") -> DataFrame:
+    """Wide predictions as a table bucketed by image: joins by image then leave its dense arrays where they are."""
+    wide.write.bucketBy(buckets, on).mode("overwrite").option("path", path).saveAsTable(name)
+    return wide.sparkSession.table(name)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme that Spark reads it by."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 def write_artifact_files(artifacts: DataFrame, base: str) -> int:
     """Each (path, content) row as a file below `base`, a folder all executors reach; returns how many.
 
+    A row without content, or with a path that would leave `base`, stops the write before it starts.
+
     Spark has no writer for single binary files, so tasks write theirs through Arrow's file systems. A
     file appears under its name only when it is whole, and a task that runs again writes the same
-    bytes. Paths that would leave `base` are refused.
+    bytes.
     """
+    bad = artifacts.where(~F.coalesce(paths.inside_base(F.col("path")), F.lit(False)) | F.col("content").isNull())
+    if first := bad.select("path").first():
+        raise ValueError(f"no content, or a path outside the folder: {first.path!r}")
+    base = qualified(artifacts.sparkSession, base)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = urlparse(base)
         local = where.scheme in ("", "file")
@@ -80,8 +90,7 @@ def write_artifact_files(artifacts: DataFrame, base: str) -> int:
                 store.move(partial, target)
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
-    safe = artifacts.where(paths.inside_base(F.col("path")) & F.col("content").isNotNull())
-    return safe.select("path", "content").mapInArrow(write, "n bigint").agg(F.sum("n")).first()[0] or 0
+    return artifacts.select("path", "content").mapInArrow(write, "n bigint").agg(F.sum("n")).first()[0] or 0
 
 
 def write_predictions_csv(detections: DataFrame, path: str, timestamp: str) -> None:

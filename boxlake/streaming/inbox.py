@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,6 +30,17 @@ def inbox_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> Dat
     return files.select(name.alias("filename"), pixels_of_image_source(F.col("image")).alias("pixels"))
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a stream keeps in its checkpoint; a new checkpoint has a new one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"].replace("-", "")
+
+
+def batch_time(spark: SparkSession, checkpoint: str, batch_id: int) -> Column:
+    """When a batch was planned, the same each time it is run."""
+    lines = spark.read.text(f"{checkpoint}/offsets/{batch_id}").where(F.col("value").contains("batchTimestampMs"))
+    return F.timestamp_millis(F.lit(json.loads(lines.first()[0])["batchTimestampMs"]))
+
+
 def score_inbox_stream(
     spark: SparkSession,
     folder: str,
@@ -40,13 +52,14 @@ def score_inbox_stream(
 ) -> StreamingQuery:
     """Score what has arrived, append it to the history, stop when the inbox is drained.
 
-    The history folder is named by batch number, so a batch repeated after a failure replaces
-    itself; the checkpoint keeps scored files from being scored again.
+    The history folder is named by query and batch number, and the batch keeps the time it was planned at, so a
+    batch repeated after a failure replaces itself; the checkpoint keeps scored files from being scored again.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        query, planned = query_id(spark, checkpoint), batch_time(spark, checkpoint, batch_id)
         # a trigger holds few files, which would otherwise share a few tasks
-        results = run_scoring(repartition_batch(batch), make_predict_fn, f"stream_{batch_id:08d}", **options)
-        append_history(history_rows(results, F.current_timestamp()), history_path, batch_id)
+        results = run_scoring(repartition_batch(batch), make_predict_fn, f"stream_{query}_{batch_id:08d}", **options)
+        append_history(history_rows(results, planned), history_path, query, batch_id)
 
     return (
         inbox_stream(spark, folder, max_files)
@@ -57,10 +70,11 @@ def score_inbox_stream(
     )
 
 
-def hourly_counts(history: DataFrame, watermark: str = "1 hour") -> DataFrame:
+def hourly_counts(history: DataFrame, watermark: str) -> DataFrame:
     """Predictions, plates and failures per hour of a history stream.
 
-    The watermark bounds the state: hours older than it are closed and forgotten.
+    The watermark bounds the state: hours older than it are closed and forgotten, and rows that come later than that
+    are not counted, while `history.hourly_predictions` counts them. Choose it above the longest delay of the source.
     """
     ok = F.col("status") == F.lit("success")
     return (
@@ -80,7 +94,7 @@ def drain_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Run an updating aggregate over what is there and store every batch of updates."""
     query = (
         stream.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: append_history(batch, path, batch_id))
+        .foreachBatch(lambda batch, batch_id: append_history(batch, path, "counts", batch_id))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

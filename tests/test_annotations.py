@@ -31,40 +31,36 @@ def test_rejects(spark):
     assert rows == {"blank": 2, "short": 1, "non_numeric": 2}
 
 
-def test_bboxes_are_aligned_and_sorted(spark):
-    row = A.build_bboxes(A.parse_labels(lines(spark)), ON).where("image_name = 'a'").first()
-    assert row.cls_targets == [0.0, 1.0] and row.pos_mask == [1.0, 1.0] and row.part == 0
-    assert [round(b[0], 3) for b in row.reg_targets] == [0.5, 0.4]
-
-
-def test_large_images_are_split_without_losing_copies(spark):
-    rows = [("hot", 0.0, float(i), 0.0, 0.0, 0.0) for i in range(40)] + [("hot", 1.0, 9.0, 9.0, 9.0, 9.0)] * 25
-    rows += [("cold", 0.0, 1.0, 1.0, 1.0, 1.0)] * 4
+def test_bboxes_are_rows_at_every_size(spark):
+    rows = [("hot", 0.0, float(i % 40), 0.0, 0.0, 0.0) for i in range(3000)] + [("cold", 0.0, 1.0, 1.0, 1.0, 1.0)] * 4
     labels = spark.createDataFrame(rows, "image_name string, class_id float, cx float, cy float, w float, h float")
-    out = A.build_bboxes(labels, ON, max_boxes=5).collect()
-    assert sum(r.image_name == "cold" for r in out) == 1
-    parts = [r for r in out if r.image_name == "hot"]
-    assert len(parts) > 3 and max(len(r.cls_targets) for r in parts) < 65
-    found = Counter((c, b[0]) for r in parts for c, b in zip(r.cls_targets, r.reg_targets))
-    assert found == Counter((r[1], r[2]) for r in rows if r[0] == "hot")
+    out = A.build_bboxes(labels, ON)
+    assert Counter((r.image_name, r.class_id, r.cx, r.pos_mask) for r in out.collect()) == Counter((*r[:3], 1.0) for r in rows)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_join_keeps_unlabeled_and_drops_orphans(spark):
     joined = A.join_images_boxes(images(spark), A.build_bboxes(A.parse_labels(lines(spark)), ON), ON)
-    assert {r.image_name: len(r.cls_targets) for r in joined.collect()} == {"a": 2, "b": 1, "c": 0}
+    assert Counter((r.image_name, r.cx is None) for r in joined.collect()) == {("a", False): 2, ("b", False): 1, ("c", True): 1}
 
 
 def test_split_keys_keep_equal_names_apart(spark):
     both = spark.createDataFrame([("s", "train"), ("s", "valid")], "image_name string, split_name string")
     labels = spark.createDataFrame([("s", "train", "0 0.5 0.5 0.1 0.1")], "image_name string, split_name string, value string")
     joined = A.join_images_boxes(both, A.build_bboxes(A.parse_labels(labels)))
-    assert {r.split_name: len(r.cls_targets) for r in joined.collect()} == {"train": 1, "valid": 0}
+    assert {r.split_name: r.pos_mask for r in joined.collect()} == {"train": 1.0, "valid": None}
+
+
+def test_counted_boxes(spark):
+    rows = A.counted_boxes(images(spark), A.parse_labels(lines(spark)), ON).collect()
+    assert Counter((r.image_name, r.num_boxes) for r in rows) == {("a", 2): 2, ("b", 1): 1}
 
 
-def test_box_rows(spark):
-    rows = A.box_rows(images(spark), A.parse_labels(lines(spark)), ON).collect()
-    assert Counter((r.image_name, r.num_boxes) for r in rows) == {("a", 2): 2, ("b", 1): 1, ("c", 0): 1}
-    assert [r.cx for r in rows if r.image_name == "c"] == [None]
+def test_statistics_count_names(spark):
+    frame = spark.createDataFrame([("s", "train"), ("s", "valid"), ("t", "train"), ("t", "train")], "image_name string, split_name string")
+    boxes = spark.createDataFrame([("train", 0.5, 2.0, 0.25)], "split_name string, cx double, aspect_ratio double, bbox_area_norm double")
+    got = {r.split_name: (r.total_images, r.total_boxes) for r in A.dataset_stats(frame, boxes, by_split=True).collect()}
+    assert got == {"train": (2, 1), "valid": (1, 0), None: (2, 1)}
 
 
 def test_audits(spark):
@@ -104,10 +100,11 @@ def test_ordinals_match_a_plain_sort(spark):
         F.when(F.col("id") % 10 < 8, "train").otherwise("test").alias("split_name"),
         F.concat(F.lit("img_"), F.col("id").cast("string")).alias("image_name"), "id",
     )
-    got = B.make_batches(frame, B.shuffle_key(F.col("id"), 7)).toPandas()
+    got = B.make_batches(frame, B.shuffle_key(F.col("id"), 7), F.col("id")).toPandas()
     assert len(got) == 5000
-    for _, part in got.groupby("split_name"):
-        expected = part.assign(key=(part.id * 48271 + 7) % (2**31 - 1)).sort_values(["key", "image_name"])
+    for split, part in got.groupby("split_name"):
+        key = (part.id * 48271 + 7) % (2**31 - 1) if split == "train" else part.id
+        expected = part.assign(key=key).sort_values(["key", "image_name"])
         assert list(expected.ordinal) == list(range(len(part)))
         assert (expected.batch_id == expected.ordinal // 16).all()
 

@@ -1,4 +1,5 @@
 import base64
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,11 +9,12 @@ from boxlake.operators import history as H
 from boxlake.operators import runs as R
 from boxlake.sources import files, sinks
 
-JPEG = base64.b64encode(b"\xff\xd8\xff\xe0" + b"x" * 200_000).decode()
+JPEG, OTHER = (base64.b64encode(b"\xff\xd8\xff\xe0" + fill * 200_000).decode() for fill in (b"x", b"y"))
 OLD = f'''timestamp,image_name,nb_plates,detections,status,annotated_image
-2026-03-26T20:48:12.132516,a.jpg,1,"[{{'confidence': 0.71, 'x_min': 361, 'y_min': 583, 'x_max': 491, 'y_max': 648}}]",success,{JPEG}
-2026-03-26T22:14:10.730914,b.jpg,0,[],success,images/x/orig.jpg,images/x/ann.jpg
-2026-03-26T22:14:11,c.jpg,0,[],"error: bad ""quote"", and
+1999-12-31T23:59:58.5,a.jpg,1,"[{{'confidence': 0.25, 'x_min': 10, 'y_min': 20, 'x_max': 30, 'y_max': 40}}]",success,{JPEG}
+1999-12-31T23:59:58.7,f.jpg,0,[],success,{OTHER}
+2001-02-03T04:05:06.25,b.jpg,0,[],success,images/x/orig.jpg,images/x/ann.jpg
+2001-02-03T04:05:07,c.jpg,0,[],"error: bad ""quote"", and
 a line break",images/y/orig.jpg,
 nonsense,d.jpg,0,[],success,%%%
 never,e.jpg,0,[],success,{JPEG}
@@ -28,13 +30,14 @@ def old(spark, tmp_path):
 def test_mixed_width_rows_and_migration(old):
     history, artifacts = H.migrate_history(old)
     rows = {r.image_name: r for r in history.collect()}
-    assert rows["a.jpg"].annotated_image_path == "images/runs/migrated_20260326_204812/migrated_ann.jpg"
+    assert re.fullmatch("images/runs/migrated_19991231_235958/migrated_[0-9a-f]{16}_ann.jpg", rows["a.jpg"].annotated_image_path)
+    assert rows["f.jpg"].annotated_image_path != rows["a.jpg"].annotated_image_path
     assert (rows["b.jpg"].original_image_path, rows["b.jpg"].annotated_image_path) == ("images/x/orig.jpg", "images/x/ann.jpg")
     assert rows["c.jpg"].status.endswith("a line break") and rows["c.jpg"].original_image_path == "images/y/orig.jpg"
     assert rows["d.jpg"].annotated_image_path == ""
-    assert rows["e.jpg"].annotated_image_path == "images/runs/migrated_migrated/migrated_ann.jpg"
-    stored = {r.path: bytes(r.content) for r in artifacts.collect()}
-    assert len(stored) == 2 and all(base64.b64encode(c).decode() == JPEG for c in stored.values())
+    assert rows["e.jpg"].annotated_image_path.startswith("images/runs/migrated_migrated/migrated_")
+    stored = {r.path: base64.b64encode(bytes(r.content)).decode() for r in artifacts.collect()}
+    assert stored == {rows[n].annotated_image_path: c for n, c in (("a.jpg", JPEG), ("f.jpg", OTHER), ("e.jpg", JPEG))}
 
 
 def test_needs_migration():
@@ -47,10 +50,10 @@ def test_typed_history_and_detections(spark, tmp_path):
     typed = files.scan_history(spark, str(tmp_path / "history.csv"))
     rows = {r.image_name: r for r in H.parsed_history(typed).collect()}
     assert rows["a.jpg"].nb_plates == 1 and rows["d.jpg"].timestamp is None
-    assert rows["a.jpg"].detections[0].asDict() == {"confidence": 0.71, "x_min": 361, "y_min": 583, "x_max": 491, "y_max": 648}
+    assert rows["a.jpg"].detections[0].asDict() == {"confidence": 0.25, "x_min": 10, "y_min": 20, "x_max": 30, "y_max": 40}
     assert rows["b.jpg"].detections == []
     exploded = H.explode_detections(H.parsed_history(typed))
-    assert exploded.count() == 5 and exploded.where("x_min is not null").count() == 1
+    assert exploded.count() == 6 and exploded.where("x_min is not null").count() == 1
 
 
 def test_literal_round_trip(spark):
@@ -68,9 +71,9 @@ SCHEMA = "timestamp timestamp_ntz, image_name string, nb_plates int"
 def test_append_replay_and_purge(spark, tmp_path):
     path = str(tmp_path / "h")
     rows = spark.sql("select timestamp_ntz'2026-01-01 00:00:00' as timestamp, 'a' as image_name, 1 as nb_plates")
-    for batch in (0, 1, 1):
-        sinks.append_history(rows, path, batch)
-    assert sinks.read_history(spark, path, SCHEMA).count() == 2
+    for writer, batch in (("a", 0), ("a", 1), ("a", 1), ("b", 0)):
+        sinks.append_history(rows, path, writer, batch)
+    assert sinks.read_history(spark, path, SCHEMA).count() == 3
     sinks.purge_history(spark, path, SCHEMA)
     assert sinks.read_history(spark, path, SCHEMA).count() == 0
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
 from boxlake.functions import pixels as P
+from boxlake.operators import history as H
 from boxlake.operators import pixels as PX
 from boxlake.operators import scoring as S
 from boxlake.plans import preprocess
@@ -167,12 +168,15 @@ def test_image_source_channels(spark, tree):
 
 def test_preprocess_end_to_end(spark, tree, tmp_path):
     out = str(tmp_path / "out")
-    preprocess.preprocess(spark, str(tree), out, files_per_split=2)
-    rows = {(r.split_name, r.image_name): r for r in files.read_training_table(spark, out).collect()}
+    preprocess.preprocess(spark, str(tree), out)
+    rows = {(r.split_name, r.image_name): r for r in files.read_training_table(spark, f"{out}/images").collect()}
     assert set(rows) == {("train", "a b+c"), ("train", "both"), ("valid", "both"), ("valid", "bare")}
-    assert len(rows[("train", "a b+c")].reg_targets) == 2 and rows[("valid", "both")].reg_targets == []
-    box = rows[("train", "both")].reg_targets[0]
-    assert box == pytest.approx([0.5, 0.5, 0.2 * 0.75, 0.2])
+    boxes = {}
+    for r in files.read_training_table(spark, f"{out}/boxes").collect():
+        boxes.setdefault((r.split_name, r.image_name), []).append(r)
+    assert set(boxes) == set(rows) and len(boxes[("train", "a b+c")]) == 2 and boxes[("valid", "both")][0].cx is None
+    box = boxes[("train", "both")][0]
+    assert [box.cx, box.cy, box.w, box.h] == pytest.approx([0.5, 0.5, 0.2 * 0.75, 0.2])
     stored = P.decode(bytes(rows[("train", "both")].images))
     assert (stored == P.letterbox(picture(48, 64, seed=1), 256)[0]).all()
     with pytest.raises(Exception):
@@ -197,6 +201,36 @@ def test_inbox_stream_scores_each_file_once(spark, tmp_path):
     assert drain() == [*first, ("late.png", "success")]
 
 
+def test_two_streams_keep_their_rows_and_a_batch_its_time(spark, tmp_path):
+    history, schema = str(tmp_path / "history"), "timestamp timestamp, image_name string, original_image_path string"
+    for name in ("one", "two"):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / f"{name}.png").write_bytes(P.encode_png(picture(20, 20)))
+        state = str(tmp_path / f"state-{name}")
+        inbox.score_inbox_stream(spark, str(folder), make_stub, history, state, score_threshold=0.1).awaitTermination()
+    rows = sinks.read_history(spark, history, schema).collect()
+    assert {r.image_name for r in rows} == {"one.png", "two.png"} and len({r.original_image_path for r in rows}) == 2
+    planned = spark.range(1).select(inbox.batch_time(spark, str(tmp_path / "state-one"), 0)).first()[0]
+    assert planned in {r.timestamp for r in rows}
+
+
+def test_late_rows_of_a_stream_are_not_counted(spark, tmp_path):
+    source, counts, state = (str(tmp_path / n) for n in ("source", "counts", "state"))
+    schema = "timestamp timestamp_ntz, nb_plates int, status string"
+
+    def arrive(*hours):
+        rows = ", ".join(f"(timestamp_ntz'2001-01-01 {h:02d}:30:00', 1, 'success')" for h in hours)
+        spark.sql(f"select * from values {rows} as t(timestamp, nb_plates, status)").write.mode("append").parquet(source)
+        inbox.drain_to_table(inbox.hourly_counts(spark.readStream.schema(schema).parquet(source), "2 hours"), counts, state)
+
+    for hours in ((1, 5), (4, 9), (1, 8)):  # the row of 01:30 comes when hours before 07:30 are closed
+        arrive(*hours)
+    got = {r.hour.hour: r.n_predictions for r in inbox.latest_counts(spark, counts).collect()}
+    assert got == {1: 1, 4: 1, 5: 1, 8: 1, 9: 1}
+    assert {r.hour.hour: r.n_predictions for r in H.hourly_predictions(spark.read.parquet(source)).collect()}[1] == 2
+
+
 def test_jpeg_files_decode_on_the_jvm(spark, tmp_path):
     jvm = spark.sparkContext._jvm
     image = jvm.java.awt.image.BufferedImage(20, 10, 1)
@@ -213,7 +247,10 @@ def test_artifact_files(spark, tmp_path):
     rows = [("images/runs/r/a_orig.jpg", b"one"), ("images/b.jpg", b"two"), ("../c", b"three"), ("d", None)]
     frame = spark.createDataFrame(rows, "path string, content binary")
     for _ in range(2):
-        assert sinks.write_artifact_files(frame, str(tmp_path / "base")) == 2
+        assert sinks.write_artifact_files(frame.limit(2), str(tmp_path / "base")) == 2
+    for n in (2, 3):
+        with pytest.raises(ValueError):
+            sinks.write_artifact_files(spark.createDataFrame(rows[:2] + rows[n:n + 1], frame.schema), str(tmp_path / "base"))
     found = {str(p.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()}
     assert found == {"base/images/runs/r/a_orig.jpg": b"one", "base/images/b.jpg": b"two"}
 
