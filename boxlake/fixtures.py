@@ -137,6 +137,26 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def marked_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One PNG per embedding, as large as in `image_files`, in the colour that `stub_model.make_marked` reads as
+    anchor vec_id mod N_ANCHORS; every eleventh file is cut short."""
+    @F.arrow_udf("binary")
+    def paint(codes: pa.Array, widths: pa.Array, heights: pa.Array) -> pa.Array:
+        out = []
+        for code, w, h in zip(codes.to_pylist(), widths.to_pylist(), heights.to_pylist()):
+            colour = np.array([code // 64 * 10, code % 64 * 4, 0], np.uint8)
+            out.append(encode_png(np.broadcast_to(colour, (h, w, 3))))
+        return pa.array(out, pa.binary())
+
+    rows = _spread(table(spark, sf_dir, "embeddings").select("vec_id"), "vec_id")
+    sides = [(8 * (F.col("vec_id") % k + 2)).cast("int") for k in (5, 3)]
+    content = paint.asNondeterministic()((F.col("vec_id") % N_ANCHORS).cast("int"), *sides)
+    cut = F.when(F.col("vec_id") % 11 == 0, F.substring("content", 1, 44)).otherwise(F.col("content"))
+    return rows.select("vec_id", content.alias("content")).select(
+        F.concat(F.lit("vec_"), F.col("vec_id").cast("string"), F.lit(".png")).alias("filename"), cut.alias("content")
+    )
+
+
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, IMAGES, "orders")
 

@@ -7,6 +7,7 @@ not mean shipping millions of rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +24,11 @@ from boxlake.operators import pixels as PX
 from boxlake.operators import runs as R
 from boxlake.operators import scoring as S
 from boxlake.operators import training_loss as TL
-from boxlake.plans import evaluate, preprocess
+from boxlake.plans import evaluate, preprocess, score
 from boxlake.session import scratch_dir
 from boxlake.sources import files, sinks
 from boxlake.streaming import inbox
-from boxlake.stub_model import make_stub
+from boxlake.stub_model import make_marked, make_stub
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1109,7 +1110,7 @@ def _(spark, d):
         inbox.score_inbox_stream(
             spark, f"{root}/inbox", make_stub, f"{root}/history", f"{root}/state", score_threshold=0.5
         ).awaitTermination()
-    return sinks.read_history(spark, f"{root}/history", "image_name string, status string").drop("batch_id")
+    return sinks.read_history(spark, f"{root}/history", "image_name string, status string").drop("writer", "batch_id")
 
 
 # ---------------------------------------------------------------- scoring with a stand-in model
@@ -1119,15 +1120,36 @@ def _results(spark, d, threshold: float = 0.5) -> DataFrame:
     return S.run_scoring(_decoded(spark, d), make_stub, run="run_1", score_threshold=threshold)
 
 
-@query("score_images")
+def _marked(spark, d, **options) -> DataFrame:
+    """Result rows of the images whose colour names their one box."""
+    decoded = X.marked_files(spark, d).withColumn("pixels", PX.decode_rgb(F.col("content"))).drop("content")
+    return S.run_scoring(decoded, make_marked, run="run_1", score_threshold=0.5, **options)
+
+
+MARKED_SQL = f"""
+(select filename, broken, coalesce(confidence, -1) as confidence, coalesce(x_min, -1) as x_min, coalesce(y_min, -1) as y_min,
+  coalesce(x_max, -1) as x_max, coalesce(y_max, -1) as y_max from (
+ select concat('vec_', cast(s.vec_id as string), '.png') as filename, s.broken,
+  round(case when not s.broken then 1 / (1 + exp(-4.0::double)) end, 6) as confidence,
+  {_back_sql('least(greatest(acx - aw / 2, 0), 1)', 'pad_x', 'f.width', 'x_min')}, {_back_sql('least(greatest(acy - ah / 2, 0), 1)', 'pad_y', 'f.height', 'y_min')},
+  {_back_sql('least(greatest(acx + aw / 2, 0), 1)', 'pad_x', 'f.width', 'x_max')}, {_back_sql('least(greatest(acy + ah / 2, 0), 1)', 'pad_y', 'f.height', 'y_max')}
+ from {SIZES} s left join {FITTED_SQL} f using (vec_id) join fx_anchors a on a.anchor_id = s.vec_id % {N.N_ANCHORS}))"""
+FOUND = ("confidence", "x_min", "y_min", "x_max", "y_max")
+
+
+@query("score_images", f"select filename, {', '.join(FOUND)} from {MARKED_SQL}")
 def _(spark, d):
-    scored = S.score_images(_decoded(spark, d), make_stub, 0.5)
-    return H.explode_detections(scored.select("filename", "detections"))
+    decoded = X.marked_files(spark, d).withColumn("pixels", PX.decode_rgb(F.col("content"))).drop("content")
+    scored = S.score_images(decoded, make_marked, 0.5)
+    return rounded(H.explode_detections(scored.select("filename", "detections")), 6, "confidence").fillna(-1)
 
 
-@query("run_scoring")
+@query("run_scoring", f"""
+select filename, case when broken then 'error: broken png data' else 'success' end as status, not broken as success,
+ case when broken then 0 else 1 end::int as nb_plates, 'run_1' as run_id, confidence as score, {', '.join(FOUND)} from {MARKED_SQL}""")
 def _(spark, d):
-    return _results(spark, d).select("filename", "status", "nb_plates", "scores", "run_id")
+    rows = _marked(spark, d).select("filename", "status", "success", "nb_plates", "run_id", F.get("scores", F.lit(0)).alias("score"), "detections")
+    return rounded(H.explode_detections(rows), 6, "confidence", "score").fillna(-1)
 
 
 @query("result_rows", f"""
@@ -1143,9 +1165,11 @@ def _(spark, d):
     return _results(spark, d).where(~F.col("success")).select("filename", "error", "nb_plates")
 
 
-@query("predict_batch_simple")
+@query("predict_batch_simple", f"""
+select case when broken then 0 else 1 end::int as nb_plates, case when broken then 0 else 1 end::int as n_scores, {', '.join(FOUND)} from {MARKED_SQL}""")
 def _(spark, d):
-    return S.predict_batch_simple(_results(spark, d, S.BATCH_SCORE_THRESHOLD)).select("nb_plates", "scores")
+    rows = S.predict_batch_simple(_marked(spark, d)).select("nb_plates", F.size("scores").alias("n_scores"), "detections")
+    return rounded(H.explode_detections(rows), 6, "confidence").fillna(-1)
 
 
 @query("scored_history", f"""
@@ -1157,8 +1181,42 @@ def _(spark, d):
     return rows.select("image_name", "original_image_path", "annotated_image_path")
 
 
-@query("write_predictions_csv")
+@query("write_predictions_csv", NMS_SQL.format(threshold=0.9, limit=100).replace(
+    "select image_name, generate", "select image_name, '2026-01-01T00:00:00' as timestamp, 1 as class_id, generate"
+).replace("unnest(kept).a as anchor_id, ", ""), recursive=True)
 def _(spark, d):
     out = scratch_dir(spark, "predictions-csv")
     sinks.write_predictions_csv(D.predict(X.predictions_wide(spark, d), 0.9), out, "2026-01-01T00:00:00")
-    return spark.read.option("header", True).option("escape", '"').csv(out)
+    back = spark.read.option("header", True).option("escape", '"').csv(out)
+    parsed = F.arrays_zip(
+        F.from_json("predicted_boxes", "array<array<double>>").alias("box"),
+        F.from_json("predicted_classes", "array<int>").alias("class_id"), F.from_json("scores", "array<double>").alias("score"),
+    )
+    rows = back.select("image_name", "timestamp", F.posexplode(parsed).alias("det_rank", "p"))
+    cells = rows.select(
+        "image_name", "timestamp", "det_rank", F.col("p.class_id").alias("class_id"), F.col("p.score").alias("score"),
+        *[F.get("p.box", F.lit(i)).alias(c) for i, c in enumerate(D.CORNERS)],
+    )
+    return rounded(cells, 6, "score", *D.CORNERS)
+
+
+@query("stored_artifacts", f"""
+select filename as image_name, case when broken then 0 else 1 end::int as nb_plates, not broken as has_original, not broken as has_annotated,
+ case when broken then '' else concat('images/runs/run_1/', replace(filename, '.png', '_orig.png')) end as original_image_path from {MARKED_SQL}""")
+def _(spark, d):
+    """The scoring job over an inbox; every path of its history is looked up among the stored files."""
+    root = scratch_dir(spark, "scored-inbox")
+    rows = X.marked_files(spark, d).select("filename", F.col("content").alias("image_bytes"))
+    score.score_rows(
+        rows, make_marked, "run_1", f"{root}/history", f"{root}/base", datetime(2026, 1, 1), score_threshold=0.5
+    )
+    history = sinks.read_history(spark, f"{root}/history", HISTORY_SCHEMA)
+    stored = files.scan_artifacts(spark, f"{root}/base")
+    kept = ["image_name", "nb_plates"]
+    originals = H.resolve_artifacts(history, stored, "original_image_path").select(
+        *kept, "original_image_path", F.col("content").isNotNull().alias("has_original")
+    )
+    annotated = H.resolve_artifacts(history, stored, "annotated_image_path").select(
+        "image_name", F.col("content").isNotNull().alias("has_annotated")
+    )
+    return originals.join(annotated, "image_name")
