@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Epochs without improvement that stop a run; learning rate schedule.
 STOP_PATIENCE = 10
@@ -73,29 +77,12 @@ def plateau_lr(
     An epoch improves when its loss is below the tracked best by the relative threshold. Between two
     improvements the rate falls once per `patience` + 1 epochs, so only the improvements have to be
     replayed in order. They are found among the strict minima of the run (for losses of at least 0
-    every improvement is one); below 0 every epoch is a candidate. Each run then carries its
-    improvements, and its rate follows by counting.
+    every improvement is one); below 0 every epoch is a candidate. The rate follows by counting.
     """
     lowest = F.col("best_before")
     candidate = lowest.isNull() | (F.col("val_loss") < lowest) | (lowest < F.lit(0.0))
-    points = (
-        with_best_before(log).where(candidate)
-        .groupBy("run_id")
-        .agg(F.array_sort(F.collect_list(F.struct("epoch", "val_loss"))).alias("points"))
-    )
-    state = "struct<best:double,epochs:array<int>>"
-    begin = F.struct(F.lit(float("inf")).alias("best"), F.array().cast("array<int>").alias("epochs")).cast(state)
-
-    def step(s: Column, p: Column) -> Column:
-        better = p["val_loss"] < s["best"] * F.lit(1.0 - threshold)
-        moved = F.struct(
-            p["val_loss"].cast("double").alias("best"), F.concat(s["epochs"], F.array(p["epoch"])).alias("epochs")
-        )
-        return F.when(better, moved.cast(state)).otherwise(s)
-
-    improved = points.select(
-        "run_id", F.posexplode(F.aggregate("points", begin, step)["epochs"]).alias("nth", "since")
-    )
+    points = with_best_before(log).where(candidate).select("run_id", "epoch", "val_loss")
+    improved = _improvements(points, threshold)
     last = log.groupBy("run_id").agg(F.max("epoch").alias("last_epoch"))
     order = W.partitionBy("run_id").orderBy("since")
     until = F.coalesce(F.lead("since").over(order), F.col("last_epoch") + 1)
@@ -120,6 +107,30 @@ def plateau_lr(
     return epochs.select("run_id", "epoch", rate.alias("lr"))
 
 
+def _improvements(points: DataFrame, threshold: float) -> DataFrame:
+    """(run_id, since): the points that improve on the tracked best by the relative threshold.
+
+    Whether one does hangs on the one before, so the points of a run stream through one task in order; a task
+    holds one loss and one Arrow batch, whatever the length of a run.
+    """
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, at, best = False, None, float("inf")
+        for batch in batches:
+            kept = []
+            for i, (run, loss) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+                if not begun or run != at:
+                    begun, at, best = True, run, float("inf")
+                if loss is not None and loss < best * (1.0 - threshold):
+                    best = loss
+                    kept.append(i)
+            rows = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays(rows.columns[:2], ["run_id", "since"])
+
+    ordered = points.repartition("run_id").sortWithinPartitions("run_id", "epoch")
+    schema = T.StructType([points.schema["run_id"], T.StructField("since", points.schema["epoch"].dataType)])
+    return ordered.mapInArrow(replay, schema)
+
+
 def _rates(start: float, factor: float, floor: float, eps: float) -> list[float]:
     """The rates a run can pass through; a cut of at most `eps` is not made."""
     rates = [float(start)]
