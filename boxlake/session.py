@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -49,6 +52,14 @@ def ship_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _local_scratch() -> str:
+    """The scratch folder of this process, for local sessions without a configured one; it goes when the process ends."""
+    base = tempfile.mkdtemp(prefix="boxlake-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared checkpoint folder of the session.
 
@@ -60,5 +71,5 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        base = os.path.join(tempfile.gettempdir(), "boxlake")
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
