@@ -1078,6 +1078,24 @@ def _(spark, d):
     return images.withColumn("is_short", F.length("raw_content") == 60).drop("raw_content")
 
 
+@query("scan_label_names", f"""
+select image_name, split_name, split_id, v.value from {TREE} t, lateral (select '0 0.5 0.5 0.2 0.1' as value
+ union all select concat('1 0.', lpad(cast(t.vec_id % 900 + 50 as string), 3, '0'), ' 0.4 0.1 0.3')) v""")
+def _(spark, d):
+    """One label file per image, so that names are compared too."""
+    return files.scan_label_lines(spark, _image_tree(spark, d))
+
+
+@query("scan_inbox_names", "select concat('note ', cast(vec_id as string), '.txt') as filename, concat('note of ', cast(vec_id as string)) as body from embeddings")
+def _(spark, d):
+    root = scratch_dir(spark, "inbox-names")
+    key = X.table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("key"))
+    sinks.write_artifact_files(key.select(
+        F.concat(F.lit("note "), "key", F.lit(".txt")).alias("path"), F.encode(F.concat(F.lit("note of "), "key"), "utf-8").alias("content")
+    ), root)
+    return files.scan_inbox(spark, root).select("filename", F.decode("image_bytes", "utf-8").alias("body"))
+
+
 @query("scan_image_pixels", f"""
 select image_name, split_name, case when broken then -1 else width end::int as width, case when broken then -1 else height end::int as height from {TREE}""")
 def _(spark, d):
