@@ -32,12 +32,12 @@ def append_history(rows: DataFrame, path: str, writer: str, batch_id: str | int)
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/writer={writer}/batch_id={batch_id}")
 
 
-def append_history_csv(rows: DataFrame, path: str) -> None:
-    """History rows in the CSV layout, appended as new files with a header each."""
+def append_history_csv(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """History rows in the CSV layout, as new files with a header each."""
     stamped = rows.withColumn(
         "timestamp", F.date_format(F.col("timestamp").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     )
-    stamped.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    stamped.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def read_history(spark: SparkSession, path: str, schema: str) -> DataFrame:

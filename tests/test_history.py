@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from boxlake.functions import text
 from boxlake.operators import history as H
 from boxlake.operators import runs as R
+from boxlake.plans import migrate
 from boxlake.sources import files, sinks
 
 JPEG, OTHER = (base64.b64encode(b"\xff\xd8\xff\xe0" + fill * 200_000).decode() for fill in (b"x", b"y"))
@@ -40,6 +41,21 @@ def test_mixed_width_rows_and_migration(old):
     assert stored == {rows[n].annotated_image_path: c for n, c in (("a.jpg", JPEG), ("f.jpg", OTHER), ("e.jpg", JPEG))}
 
 
+def test_migration_job(spark, tmp_path):
+    source, out, base, backup = (str(tmp_path / n) for n in ("history.csv", "new", "base", "backup.csv"))
+    assert migrate.migrate(spark, source, out, base, backup) == "missing"
+    (tmp_path / "history.csv").write_text(OLD)
+    for _ in range(2):
+        assert migrate.migrate(spark, source, out, base, backup) == "migrated"
+        back = files.scan_history(spark, out)
+        assert back.count() == 6 and (tmp_path / "backup.csv").read_text() == OLD
+    found = H.resolve_artifacts(back, files.scan_artifacts(spark, base), "annotated_image_path")
+    assert {r.image_name for r in found.where("content is not null").collect()} == {"a.jpg", "e.jpg", "f.jpg"}
+    for header, told in (("timestamp,annotated_image_path", "current"), ("a,b", "unknown")):
+        (tmp_path / "other.csv").write_text(header + "\n")
+        assert migrate.migrate(spark, str(tmp_path / "other.csv"), out, base, backup) == told
+
+
 def test_needs_migration():
     assert H.needs_migration(["timestamp", "annotated_image"])
     assert not H.needs_migration(["annotated_image_path"]) and not H.needs_migration(["other"])
