@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from boxlake.session import scratch_dir
 
 #: Names given to the place of a row; no table is expected to have columns of these names.
 PLACE = ("__place_file", "__place_row")
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def freeze(frame: DataFrame, purpose: str) -> DataFrame:
@@ -22,6 +25,22 @@ def freeze(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def map_arrow(rows: DataFrame, work: Callable, schema) -> DataFrame:
+    """rows.mapInArrow(work, schema) in batches of at most BATCH_ROWS rows, for rows here carry whole texts.
+
+    The bound is a setting of the session and stays; memory that Arrow holds back goes when a task ends.
+    """
+    conf = rows.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_KEY)) <= BATCH_ROWS:
+        conf.set(BATCH_KEY, BATCH_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(run, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import PLACE, freeze, keep_places, with_place
+from .common import PLACE, freeze, keep_places, map_arrow, with_place
 
 BLOCK_BYTES = 4096
 _CARRY = ("row", "owner", "sha")
@@ -63,7 +63,7 @@ def _blocks(docs: DataFrame, owner: list[str], text: str, size: int) -> DataFram
                 pa.array(pos, pa.int64()), pa.array(total, pa.int64()), pa.array(blocks, pa.binary()),
             ], names=["row", "owner", "sha", "pos", "total", "block"])
 
-    return rows.mapInArrow(cut, schema)
+    return map_arrow(rows, cut, schema)
 
 
 def _named(items: DataFrame, content: list[str]) -> DataFrame:
@@ -112,7 +112,7 @@ def _named(items: DataFrame, content: list[str]) -> DataFrame:
                 names=schema.names,
             )
 
-    numbered = freeze(ordered.mapInArrow(number, schema), "names")
+    numbered = freeze(map_arrow(ordered, number, schema), "names")
     # one row a task from here on
     order = Window.orderBy("task")
     tasks = freeze(

@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ORDER, SAMPLE_DOCS, TABLE_BYTES = 3, 2000, 32 << 20
+from .common import map_arrow
+
+ORDER, SAMPLE_DOCS, TABLE_BYTES = 3, 2000, 16 << 20
 UNKNOWN = "und"
-_CHUNK = 1 << 20
+_CHUNK, ROWS_AT_ONCE = 1 << 18, 512
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
@@ -69,7 +71,7 @@ def gram_counts(sample: DataFrame, order: int = ORDER) -> DataFrame:
                     )
 
     return (
-        sample.mapInArrow(count, "lang string, size int, gram bigint, n bigint")
+        map_arrow(sample, count, "lang string, size int, gram bigint, n bigint")
         .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     )
 
@@ -161,12 +163,13 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", prefix: s
     """docs plus {prefix}pred, {prefix}score and {prefix}bits, the mean bits of a byte in that language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     n, names = len(docs.columns), [f"{prefix}{c}" for c in ("pred", "score", "bits")]
-    rows = docs.select("*", F.when(has_letter(text), F.col(text).cast("binary")).alias(f"{prefix}text"))
+    at = docs.columns.index(text)
+    rows = docs.select("*", has_letter(text).alias(f"{prefix}letter"))
 
     def score(batches):
         model = shared.value
-        for batch in batches:
-            texts = batch.column(n).to_pylist()
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+            texts = [t.encode() if letter else None for t, letter in zip(batch.column(at).to_pylist(), batch.column(n).to_pylist())]
             known = [i for i, t in enumerate(texts) if t and model is not None]
             pred, share, rate = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
             bits = model.bits([texts[i] for i in known]) if known else []
@@ -180,7 +183,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", prefix: s
             )
 
     fields = ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), f"{names[0]} string, {names[1]} double, {names[2]} double"])
-    return rows.mapInArrow(score, fields)
+    return map_arrow(rows, score, fields)
 
 
 def keep_known_languages(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",

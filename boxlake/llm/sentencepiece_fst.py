@@ -33,10 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import map_arrow
+
 TOKENIZERS = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-CACHE_PARTS, CACHE_CHARS, CACHE_PAIRS, ROWS_AT_ONCE = 250_000, 48, 400_000, 128
+CACHE_PARTS, CACHE_CHARS, CACHE_PAIRS, ROWS_AT_ONCE = 250_000, 48, 300_000, 128
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -270,7 +272,7 @@ def _column_by_batches(rows: DataFrame, source: str, column: str, kind: T.DataTy
                     [*some.columns, convert(transducer, some.column(at))], [*some.schema.names, column]
                 )
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def _encode_column(transducer: Transducer, texts: pa.Array) -> pa.Array:

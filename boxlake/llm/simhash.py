@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACE, freeze, keep_places, with_place
+from .common import PLACE, freeze, keep_places, map_arrow, with_place
 from .graph import components
 
 SHINGLE, RADIUS, FIELD, BITS = 3, 2, 3, 64
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", shingle:
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], prints], [*batch.schema.names[:n], "print"])
 
     schema = ", ".join([*(f"k{i} {t}" for i, (_, t) in enumerate(rows.dtypes[:n])), "print bigint"])
-    out = rows.mapInArrow(compute, schema)
+    out = map_arrow(rows, compute, schema)
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "print")
 
 

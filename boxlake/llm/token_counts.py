@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import map_arrow
+
 TOKENIZERS, RANKS = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
 LEAF_CHARS = 512
 #: Fixed value: the pre-token pattern that belongs to the vocabulary.
@@ -170,7 +172,7 @@ def _mapped(rows: DataFrame, added: list[T.StructField], data, work) -> DataFram
                     [*names, *[name for name, _ in arrow]],
                 )
 
-    return rows.mapInArrow(run, T.StructType(fields))
+    return map_arrow(rows, run, T.StructType(fields))
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
