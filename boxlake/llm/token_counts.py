@@ -232,7 +232,7 @@ def attach_edits(rows: DataFrame, edits: DataFrame, key: str = "doc_id") -> Data
     """
     listed = edits.where("start is not null and stop is not null and text is not null").groupBy(
         F.col(key).alias("edited_key")
-    ).agg(F.collect_list(F.struct(F.col("start").cast("long"), F.col("stop").cast("long"), "text")).alias("edits"))
+    ).agg(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), "text")).alias("edits"))
     return rows.join(listed, F.col(key) == F.col("edited_key"), "left").drop("edited_key")
 
 
