@@ -6,10 +6,10 @@ mostly share it, and a run of windows with the same leading k-mer, a path, is st
 name of the words the path covers, and its source coordinates (document, first window, last window). Equal windows have
 equal leading k-mers, so a window can repeat only among the paths of its k-mer.
 
-1. Paths are counted by (k-mer, name) with their smallest document, and names by k-mer. A k-mer of a single document
-   drops out. A k-mer with one name is nonbranching: its path is the same wherever it occurs.
-2. The counts are joined back to the coordinates. A path that also occurs in a smaller document is removed whole,
-   without looking at its windows. That is what happens inside long repeated passages and copies.
+1. Documents and names are counted by k-mer and joined back to the coordinates. Paths whose k-mer is in a single
+   document drop out. A k-mer with one name is nonbranching: its path is the same wherever it occurs.
+2. What is left is joined to the smallest document of its (k-mer, name). A path that also occurs in a smaller document
+   is removed whole, without looking at its windows. That is what happens inside long repeated passages and copies.
 3. Only where a k-mer has several names, at the ends of passages and around edits, the first occurrences of each name are
    opened into windows, which are named by 128 bits and compared in the same way.
 4. The coordinates are joined to the texts, and the words they cover are cut.
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACE, freeze, with_place
+from .common import PLACE, freeze, map_arrow, with_place
 
 WINDOW, KMER = 50, 12
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -121,7 +121,7 @@ def _sketches(rows: DataFrame, window: int, kmer: int) -> DataFrame:
                 )
 
     arrays = ", ".join(f"{c} array<bigint>" for c in ("kmer", "high", "low", "first", "last"))
-    return rows.mapInArrow(sketch, f"{PLACE[0]} bigint, {PLACE[1]} bigint, doc bigint, n_words bigint, sha string, {arrays}")
+    return map_arrow(rows, sketch, f"{PLACE[0]} bigint, {PLACE[1]} bigint, doc bigint, n_words bigint, sha string, {arrays}")
 
 
 def _judged_paths(sketches: DataFrame) -> DataFrame:
@@ -129,22 +129,19 @@ def _judged_paths(sketches: DataFrame) -> DataFrame:
     rows = sketches.where("doc is not null").select(
         *PLACE, "doc", F.explode_outer(F.arrays_zip("kmer", "high", "low", "first", "last")).alias("p")
     ).select(*PLACE, "doc", "p.*")
-    named = freeze(
-        rows.where("kmer is not null").groupBy("kmer", "high", "low").agg(F.min("doc").alias("least"), F.max("doc").alias("most")),
-        "path-names",
-    )
+    rows = rows.where("kmer is not null")
     met = freeze(
-        named.groupBy("kmer").agg(
-            F.min("least").alias("a"), F.max("most").alias("z"),
-            (F.min(F.struct("high", "low")) != F.max(F.struct("high", "low"))).alias("branching"),
+        rows.groupBy("kmer").agg(
+            F.min("doc").alias("a"), F.max("doc").alias("z"), (F.min("high") != F.max("high")).alias("branching")
         ).where("a < z").select("kmer", "branching"),
         "path-kmers",
     )
-    repeated = freeze(
-        named.join(met, "kmer").where("branching or least < most").select("kmer", "high", "low", "least", "branching"),
-        "path-repeats",
+    repeated = freeze(rows.join(met, "kmer"), "path-repeats")
+    named = freeze(
+        repeated.groupBy("kmer", "high", "low").agg(F.min("doc").alias("least")),
+        "path-names",
     )
-    return rows.join(repeated, ["kmer", "high", "low"]).where("branching or doc > least").select(
+    return repeated.join(named, ["kmer", "high", "low"]).where("branching or doc > least").select(
         *PLACE, "first", "last", (F.col("doc") > F.col("least")).alias("whole")
     )
 
@@ -165,7 +162,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                     names=[*PLACE, "doc", "at", "high", "low"],
                 )
 
-    return texts.mapInArrow(open_paths, f"{PLACE[0]} bigint, {PLACE[1]} bigint, doc bigint, at bigint, high bigint, low bigint")
+    return map_arrow(texts, open_paths, f"{PLACE[0]} bigint, {PLACE[1]} bigint, doc bigint, at bigint, high bigint, low bigint")
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
@@ -216,7 +213,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                 names=[*PLACE, "gone", "kept_sha", "kept"],
             )
 
-    cuts = removed.mapInArrow(cut, f"{PLACE[0]} bigint, {PLACE[1]} bigint, gone bigint, kept_sha string, kept string")
+    cuts = map_arrow(removed, cut, f"{PLACE[0]} bigint, {PLACE[1]} bigint, gone bigint, kept_sha string, kept string")
     return everything.join(cuts, list(PLACE), "left").select(
         F.col("doc").alias(key), "n_words", F.coalesce("gone", F.lit(0)).alias("n_removed"),
         F.coalesce("kept_sha", "sha").alias("kept_sha256"), "kept",
