@@ -134,6 +134,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str =
     )
 
 
+def matches_of_rows(docs: DataFrame, benchmark: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """As matches, each row judged for itself: rows that share a key, or have none, are never added up."""
+    return matches(with_place(docs), benchmark, [key, *PLACE], text).drop(*PLACE)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs that no benchmark item is found in, with their columns."""
     placed = with_place(docs)

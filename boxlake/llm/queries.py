@@ -59,7 +59,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.matches(documents(spark, sf_dir), benchmark, ["doc_id"])
+    return decontamination.matches_of_rows(documents(spark, sf_dir), benchmark, "doc_id")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

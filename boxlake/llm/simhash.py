@@ -116,7 +116,10 @@ def links(prints: DataFrame, radius: int = RADIUS, q: int = FIELD) -> DataFrame:
 
 def near_groups(docs: DataFrame, key: str = "doc_id", extra: tuple[str, ...] = (), text: str = "text",
                 shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """key, extra columns, `print` and `component` (smallest key reachable by links) of every row."""
+    """key, extra columns, `print`, `root` (a print that names the group) and `component` (smallest key reachable by links).
+
+    Groups that share a smallest key, or have none, still have roots of their own.
+    """
     prints = freeze(fingerprints(docs, [key, *extra], text, shingle), "prints")
     ids = freeze(prints.groupBy("print").agg(F.min(key).alias("least_key")), "print-ids")
     found = components(links(ids.select("print"), radius), "print", "least")
@@ -124,8 +127,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", extra: tuple[str, ...] = (
         "root", F.coalesce("root", "print")
     )
     smallest = rooted.groupBy("root").agg(F.min("least_key").alias("component"))
-    classes = rooted.select("print", "root").join(smallest, "root").select("print", "component")
-    return prints.join(classes, "print").select(key, *extra, "print", "component")
+    classes = rooted.select("print", "root").join(smallest, "root").select("print", "root", "component")
+    return prints.join(classes, "print").select(key, *extra, "print", "root", "component")
 
 
 def hex_print(column: str = "print"):
@@ -136,5 +139,5 @@ def keep_first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text
     """One row of each near-duplicate group stays: the smallest key, of equal keys the first by place."""
     placed = with_place(docs)
     grouped = near_groups(placed, key, PLACE, text)
-    first = grouped.groupBy("component").agg(F.min(F.struct(F.col(key).isNull(), key, *PLACE)).alias("first"))
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col(key).isNull(), key, *PLACE)).alias("first"))
     return keep_places(placed, first.select(*[f"first.{c}" for c in PLACE]))

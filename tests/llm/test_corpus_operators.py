@@ -217,6 +217,14 @@ def test_near_groups(docs, none):
     assert stay.columns == docs.columns and stay.count() == len(least)
 
 
+def test_groups_with_one_key_or_none_stay_apart(spark):
+    texts = ["red fox jumps over dogs", "blue whale sings below ice", "green tea cools on tables"]
+    rows = [(None, t) for t in texts] + [(5, t + " again") for t in texts] + [(6, texts[0].upper())]
+    stay = simhash.keep_first_of_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(None, t) for t in texts[1:]] + [(5, t + " again") for t in texts] + [(6, texts[0].upper())]
+    assert counted(stay.collect()) == counted(want)
+
+
 def test_links_join_all_within_two_bits(spark):
     draw = random.Random(4)
     values = [draw.getrandbits(64) for _ in range(40)]
@@ -314,6 +322,16 @@ def test_contaminated_documents(spark):
         assert decontamination.matches(a, b, ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_rows_with_one_key_or_none_are_judged_apart(spark, key):
+    docs = spark.createDataFrame([(key, CASES[0][1]), (key, CASES[0][1]), (key, CASES[1][1])], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS[:1], "item_id long, text string")
+    got = decontamination.matches_of_rows(docs, items, "doc_id").collect()
+    alone = decontamination.matches_of_rows(docs.limit(1), items, "doc_id").first()
+    assert sorted((r.doc_id, r.item_id, r.exact) for r in got) == [(key, 1, False), (key, 1, True), (key, 1, True)]
+    assert {(r.n_windows, r.matched) for r in got} == {(alone.n_windows, alone.matched)}
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     docs = spark.createDataFrame(CASES, "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
