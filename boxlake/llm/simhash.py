@@ -6,9 +6,9 @@ table of a hyperplane through the differing bits: no pair within the radius is l
 tables that keep about 44 of 64 bits each, so unrelated documents seldom meet.
 
 Inside a bucket no pairs are formed. Members differ in dropped bits alone, and two of them are within r bits of each
-other exactly if they are both within r / 2 flips of one value. Each member names the values within r / 2 flips of its
-dropped bits, and members that name the same value are linked to the smallest of them. A value has at most 65 members
-(r = 2), whatever the size of the bucket.
+other exactly if they are both within r / 2 flips of one value. Each fingerprint names the values within r / 2 flips of
+the bits that any of its shared buckets drops, each value once, and those that name the same value are linked to the
+smallest of them. For r = 2 a fingerprint names and a value has at most 65, whatever the size of a bucket.
 
 Defined results: null text and text without words have fingerprint zero; repeated rows and ties share a fingerprint
 and a component; null doc_id counts only if a component has no other; an empty table gives no rows; other columns are
@@ -18,12 +18,12 @@ never read.
 from __future__ import annotations
 
 from functools import partial
-from itertools import combinations, product
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import PLACE, freeze, keep_places, map_arrow, with_place
@@ -88,15 +88,23 @@ def covering_masks(radius: int = RADIUS, q: int = FIELD) -> list[tuple[int, list
     return tables
 
 
+def _middles(flips: int) -> Column:
+    """Every value within `flips` flips of the bits `loose` of `print`, once each."""
+    bits = F.filter(
+        F.array(*[F.lit(_signed(1 << bit)) for bit in range(BITS)]), lambda b: b.bitwiseAND(F.col("loose")) != 0
+    )
+    values = F.array("print")
+    for _ in range(flips):
+        near = F.flatten(F.transform(values, lambda v: F.transform(bits, lambda b: v.bitwiseXOR(b))))
+        values = F.array_distinct(F.concat(values, near))
+    return values
+
+
 def links(prints: DataFrame, radius: int = RADIUS, q: int = FIELD) -> DataFrame:
     """Links (print, least) among distinct fingerprints; they connect exactly what lies within `radius` bits, chained."""
     if radius < 2 or radius % 2:
         raise ValueError("radius must be even and at least 2")
     tables = covering_masks(radius, q)
-    flips = [
-        [_signed(sum(1 << bit for bit in some)) for n in range(radius // 2 + 1) for some in combinations(dropped, n)]
-        for _, dropped in tables
-    ]
     keys = F.array(*[
         F.struct(F.lit(i).alias("table"), F.col("print").bitwiseAND(F.lit(_signed(mask))).alias("key"))
         for i, (mask, _) in enumerate(tables)
@@ -104,10 +112,10 @@ def links(prints: DataFrame, radius: int = RADIUS, q: int = FIELD) -> DataFrame:
     buckets = prints.select("print", F.explode(keys).alias("b")).select("print", "b.table", "b.key")
     shared = buckets.groupBy("table", "key").agg(F.min("print").alias("a"), F.max("print").alias("z"))
     met = buckets.join(shared.where("a <> z").select("table", "key"), ["table", "key"], "left_semi")
-    near = F.array(*[F.array(*[F.lit(x) for x in some]) for some in flips])
-    named = met.select(
-        "print", F.explode(F.element_at(near, F.col("table") + 1)).alias("flip")
-    ).select("print", F.col("print").bitwiseXOR(F.col("flip")).alias("middle")).distinct()
+    # a bit that several tables drop is flipped once
+    loose = F.element_at(F.array(*[F.lit(_signed(~mask & (1 << BITS) - 1)) for mask, _ in tables]), F.col("table") + 1)
+    open_bits = met.groupBy("print").agg(F.bit_or(loose).alias("loose"))
+    named = open_bits.select("print", F.explode(_middles(radius // 2)).alias("middle"))
     least = named.groupBy("middle").agg(F.min("print").alias("least"), F.max("print").alias("most"))
     return (
         named.join(least.where("least <> most"), "middle").where("print <> least").select("print", "least").distinct()
