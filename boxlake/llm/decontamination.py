@@ -140,7 +140,10 @@ def matches_of_rows(docs: DataFrame, benchmark: DataFrame, key: str, text: str =
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of docs that no benchmark item is found in, with their columns."""
+    """The rows of docs that no benchmark item is found in, with their columns.
+
+    The places of the others are written first, so that Spark knows their size when it plans the join with whole texts.
+    """
     placed = with_place(docs)
-    bad = matches(placed, benchmark, list(PLACE), text).select(*PLACE).distinct()
+    bad = freeze(matches(placed, benchmark, list(PLACE), text).select(*PLACE).distinct(), "contaminated")
     return placed.join(bad, list(PLACE), "left_anti").drop(*PLACE)
