@@ -1,8 +1,9 @@
 """From raw documents to token ids in five stages, each written as Parquet and read again by the next.
 
 Language ID keeps documents in a language that the labels of the corpus teach; exact dedup keeps the row with the
-largest doc_id of each set of equal texts; near dedup drops rows whose five-word shingles agree to 0.8 or more with a row
-of smaller doc_id that stays; decontamination drops documents in which a benchmark item is found; the last stage gives piece ids and the text decoded from them.
+largest doc_id of each set of equal texts; near dedup keeps the smallest doc_id of each SimHash group (three-word shingles,
+two bits); decontamination drops documents in which a benchmark item is found; the last stage gives piece ids and the
+text decoded from them.
 What every stage does with nulls, empty and long texts, ties, repeated rows, empty tables and further columns is
 stated in the docstring of its operator's module; all stages but the last return the columns they were given.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boxlake.llm import decontamination, exact_dedup, language_id, near_copies, sentencepiece_fst
+from boxlake.llm import decontamination, exact_dedup, language_id, sentencepiece_fst, simhash
 from boxlake.llm.common import documents, freeze
 from boxlake.session import ship_package
 
@@ -28,7 +29,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return near_copies.keep_one_of_near_copies(docs)
+    return simhash.keep_first_of_groups(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
