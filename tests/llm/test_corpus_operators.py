@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 from boxlake.llm import (
-    decontamination, exact_dedup, graph, language_id, license_scan, near_copies, pii, sentencepiece_fst, sharding,
+    decontamination, exact_dedup, graph, language_id, license_scan, pii, sentencepiece_fst, sharding,
     simhash, substring_dedup, token_counts,
 )
 
@@ -254,50 +254,6 @@ def test_components_of_a_path_and_a_hub(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 200: 200, 300: 200}
 
 
-def slow_shingles(text):
-    words = re.findall(SPACE, lower(text))
-    return {" ".join(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-def slow_stay(rows):
-    """Row numbers that stay: by rank, unless similar to one that stays."""
-    stay = []
-    for n in sorted(range(len(rows)), key=lambda n: (rows[n][0] is None, rows[n][0] or 0, n)):
-        a = slow_shingles(rows[n][1])
-        if all(5 * len(a & b) < 4 * len(a | b) for b in (slow_shingles(rows[m][1]) for m in stay)):
-            stay.append(n)
-    return stay
-
-
-@pytest.mark.parametrize("pairs", [16, 0])
-def test_near_copies_are_those_of_all_pairs(spark, docs, none, tmp_path, monkeypatch, pairs):
-    monkeypatch.setattr(near_copies, "PAIRS_A_ROW", pairs)
-    draw = random.Random(3)
-    base = [[f"w{draw.randrange(500)}" for _ in range(120)] for _ in range(6)]
-    common = [f"c{i}" for i in range(40)]
-    rows = []
-    for n in range(120):
-        words = list(base[n % 6]) if n % 3 else [f"u{draw.randrange(9000)}" for _ in range(30)] + common
-        for _ in range(draw.randrange(4)):
-            words[draw.randrange(len(words))] = f"new{draw.randrange(9000)}"
-        rows.append((draw.choice([None, n, n // 2]), " ".join(words)))
-    path = str(tmp_path / "copies.parquet")
-    spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n int").coalesce(1).write.parquet(path)
-    stay = near_copies.keep_one_of_near_copies(spark.read.parquet(path))
-    assert sorted(r.n for r in stay.collect()) == sorted(slow_stay(rows))
-    stay = near_copies.keep_one_of_near_copies(docs)
-    assert stay.columns == docs.columns and counted((r.doc_id, r.text) for r in stay.collect()) == counted(TEXTS[n] for n in slow_stay(TEXTS))
-    assert near_copies.keep_one_of_near_copies(none).count() == 0
-
-
-def test_copies_beyond_two_bits_go(spark):
-    words = [f"word{i}" for i in range(100)]
-    rows = [(1, " ".join(words)), (2, " ".join([*words[:50], "other", *words[51:]])), (3, " ".join(words[:60]))]
-    assert (slow_print(rows[0][1]) ^ slow_print(rows[1][1])).bit_count() > 2
-    stay = near_copies.keep_one_of_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in stay.collect()) == [1, 3]
-
-
 # ---------------------------------------------------------------- 5 exact dedup
 
 
