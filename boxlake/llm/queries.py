@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, license_scan, pii, sentencepiece_fst, sharding, simhash, substring_dedup, token_counts
+from . import (
+    decontamination, exact_dedup, exact_top_k, hard_negative_mining, language_id, lexical_search, license_scan, pii,
+    sentencepiece_fst, sharding, simhash, substring_dedup, token_counts,
+)
 from .common import documents
 
 WORD_SPACE = r"[\x20\x09-\x0D]"
@@ -212,6 +215,83 @@ units as (
 select doc_id, licence, max(dice) as dice, count(*) as n_units from best group by 1, 2
 """
 
+
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("vec_id")
+    label = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negative_mining.mine(_embeddings(spark, sf_dir), number % 100 == 0, label)
+
+
+def op12_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k.search(_embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0)
+
+
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.search(documents(spark, sf_dir), benchmark)
+
+
+_VECTORS = """
+usable as (
+    select row_number() over () as row, vec_id, label, list_transform(embedding, lambda v: floor(256 * v::double)) as x
+    from embeddings
+    where embedding is not null and not list_contains(list_transform(embedding, lambda v: coalesce(isfinite(v), false)), false)
+)"""
+
+OP11_SQL = f"""
+with {_VECTORS}, labelled as (
+    select row, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, x from usable where label is not null
+), scored as materialized (
+    select a.row as anchor, a.vec_id as anchor_id, c.row, c.vec_id, a.label = c.label as same, list_dot_product(a.x, c.x)::bigint as score
+    from labelled a join labelled c on a.vec_id % 100 = 0 and a.row <> c.row
+), positives as (
+    select anchor, anchor_id, row as positive, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor order by score desc, vec_id nulls last, row) <= {hard_negative_mining.POSITIVES}
+)
+select p.anchor_id, positive_id, (row_number() over (partition by p.anchor, positive order by score desc, vec_id nulls last))::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives p join scored s on p.anchor = s.anchor
+where not same and {hard_negative_mining.LEAST_PERCENT} * positive_score <= 100 * score
+  and 100 * score <= {hard_negative_mining.MOST_PERCENT} * positive_score
+qualify rank <= {hard_negative_mining.NEGATIVES}
+"""
+
+OP12_SQL = f"""
+with {_VECTORS}
+select q.vec_id as query_id, (row_number() over (partition by q.row order by list_dot_product(q.x, c.x) desc, c.vec_id nulls last))::int as rank,
+       c.vec_id, list_dot_product(q.x, c.x)::bigint as score
+from usable q join usable c on q.vec_id % 50 = 0 and q.row <> c.row
+qualify rank <= {exact_top_k.TOP}
+"""
+
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+OP13_SQL = f"""
+with docs as (
+    select row, doc_id, terms, len(terms) as n from (select row_number() over () as row, doc_id, {_TERMS} as terms from documents)
+    where len(terms) > 0
+), stats as (select count(*)::bigint as total, sum(n)::bigint as words from docs),
+asked as (select item, item_id, unnest(list_distinct(terms)) as term from (select row_number() over () as item, item_id, {_TERMS} as terms from benchmark)),
+postings as (
+    select row, doc_id, n, term, count(*) as tf from (select row, doc_id, n, unnest(terms) as term from docs)
+    where term in (select term from asked) group by all
+), weights as (
+    select term, floor(1000 * ln((2 * total + 2)::double / (2 * count(*) + 1)))::bigint as w from postings, stats group by term, total
+), scored as (
+    select item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * total) // words))))::bigint as score
+    from asked join postings using (term) join weights using (term), stats group by all
+)
+select item_id, (row_number() over (partition by item order by score desc, doc_id nulls last))::int as rank, doc_id, score
+from scored where score > 0 qualify rank <= {lexical_search.TOP}
+"""
+
 QUERIES = {
     "op1_sentencepiece_encode_decode": op1_sentencepiece_encode_decode,
     "op2_sharding": op2_sharding,
@@ -223,6 +303,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_pii": op9_pii,
     "op10_license_scan": op10_license_scan,
+    "op11_hard_negative_mining": op11_hard_negative_mining,
+    "op12_exact_top_k_search": op12_exact_top_k_search,
+    "op13_ranked_lexical_search": op13_ranked_lexical_search,
 }
 ORACLES = {
     "op2_sharding": OP2_SQL,
@@ -230,4 +313,7 @@ ORACLES = {
     "op6_benchmark_decontamination": OP6_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op10_license_scan": OP10_SQL,
+    "op11_hard_negative_mining": OP11_SQL,
+    "op12_exact_top_k_search": OP12_SQL,
+    "op13_ranked_lexical_search": OP13_SQL,
 }
