@@ -101,9 +101,8 @@ def _shard(terms: _Numbers, keys: list[int | None], docs: list[np.ndarray], coun
     names = list(terms)
     return {
         "key": key[order], "none": none[order], "size": sizes, "code": code,
-        "code_ends": np.concatenate([[0], ends[2 * block_ends - 1]]), "block_first": doc[head], "block_last": doc[block_ends - 1],
-        "list_ends": np.concatenate([[0], np.cumsum(-(-df // BLOCK))]), "stair_tf": tf[stairs], "stair_size": sizes[doc[stairs]],
-        "stair_starts": np.searchsorted(block[stairs], np.arange(len(head))),
+        "code_size": np.diff(ends[2 * block_ends - 1], prepend=0), "block_first": doc[head], "block_last": doc[block_ends - 1],
+        "stair_tf": tf[stairs], "stair_size": sizes[doc[stairs]], "stair_count": np.bincount(block[stairs], minlength=len(head)),
         "term": np.frombuffer(b" ".join(names), np.uint8), "df": df,
     }
 
@@ -149,13 +148,14 @@ class Shard:
     """A stored shard made ready for searches under given corpus statistics; a block is decompressed once, when it is first needed."""
 
     def __init__(self, stored: dict[str, np.ndarray], n_docs: int, n_terms: int):
-        self.code, self.code_ends = stored["code"], stored["code_ends"]
-        self.ends, self.first, self.last = stored["list_ends"], stored["block_first"], stored["block_last"]
+        self.code, self.code_ends = stored["code"], np.concatenate([[0], np.cumsum(stored["code_size"])])
+        self.ends = np.concatenate([[0], np.cumsum(-(-stored["df"] // BLOCK))])
+        self.first, self.last = stored["block_first"], stored["block_last"]
         self.m = 10 + 90 * stored["size"] * n_docs // n_terms
         names = stored["term"].tobytes().split(b" ")
         self.number = {term: i for i, term in enumerate(names)}
         stairs = self.impact(stored["stair_tf"], 10 + 90 * stored["stair_size"] * n_docs // n_terms)
-        self.peak = np.maximum.reduceat(stairs, stored["stair_starts"])
+        self.peak = np.maximum.reduceat(stairs, np.cumsum(stored["stair_count"]) - stored["stair_count"])
         self.list_peak = np.maximum.reduceat(self.peak, self.ends[:-1])
         sizes = np.full(self.ends[-1], BLOCK)
         sizes[self.ends[1:] - 1] = (stored["df"] - 1) % BLOCK + 1

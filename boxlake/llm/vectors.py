@@ -41,14 +41,25 @@ def in_blocks(rows: DataFrame, name: str = "block", components: int = COMPONENTS
 
 
 def dump(arrays: dict[str, np.ndarray]) -> bytes:
-    out = io.BytesIO()
-    np.savez(out, **arrays)
+    """Arrays as bytes; whole numbers are stored in the fewest bytes that hold all of them."""
+    out, stored = io.BytesIO(), {}
+    for name, values in arrays.items():
+        if values.dtype.kind in "iu" and values.itemsize > 1:
+            low, high = (values.min(), values.max()) if values.size else (0, 0)
+            fits = next(t for t in (np.uint8, np.int8, np.uint16, np.int16, np.uint32, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+            values, name = values.astype(fits), f"whole {name}"
+        stored[name] = values
+    np.savez(out, **stored)
     return out.getvalue()
 
 
 def load(payload: bytes) -> dict[str, np.ndarray]:
+    """The arrays of dump(); stored whole numbers come back as 64-bit integers."""
     with np.load(io.BytesIO(payload)) as stored:
-        return {name: stored[name] for name in stored.files}
+        return {
+            name.removeprefix("whole "): stored[name].astype(np.int64) if name.startswith("whole ") else stored[name]
+            for name in stored.files
+        }
 
 
 def matrix(lists: pa.ChunkedArray) -> np.ndarray:
