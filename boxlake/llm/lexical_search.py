@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from boxlake.operators.batching import KEY_BOUND, with_ordinal
+
 from . import vectors
 from .common import PLACE, fold_ascii, freeze, map_arrow, with_place
 
@@ -305,9 +307,11 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, key: str = "doc_id",
     blocked = weighted.withColumn("block", F.pmod(F.xxhash64(*PLACE), F.lit(blocks)).cast("int"))
     packed = vectors.pack(blocked, "block", _packed_items, "items")
     many = max(1, totals["shards"])
-    numbered = with_place(shards.select("payload")).select(
-        F.pmod(F.xxhash64(*PLACE), F.lit(many)).cast("int").alias("block"), "payload"
-    )
+    placed = with_place(shards.select("payload"))
+    # numbered without gaps, so that every task gets about as many shards
+    places = with_ordinal(placed.select(*PLACE), F.pmod(F.xxhash64(*PLACE), F.lit(KEY_BOUND).cast("long")), PLACE)
+    numbers = freeze(places.withColumnRenamed("ordinal", "block"), "shard-numbers")
+    numbered = placed.join(numbers, list(PLACE)).select(F.col("block").cast("int").alias("block"), "payload")
     found = vectors.meet(
         numbered, many, packed, _searched(k, n_docs, n_terms),
         f"item long, {PLACE[0]} long, {PLACE[1]} long, key long, score long",
