@@ -55,6 +55,14 @@ PRED_ARRAYS = {
     "dh": lambda k, a: (a * 5 + k) % 61 / 10 - 3,
 }
 
+# An anchor table off the grid: one anchor per part, three kinds of sizes, uneven places.
+ANCHOR_TABLE = """
+select cast(p_partkey as int) as anchor_id, cast(p_partkey * 37 % 997 as double) / 997 as cx, cast(p_partkey * 61 % 991 as double) / 991 as cy,
+ 0.01 + cast(p_partkey * 17 % 71 as double) / 71 * (case p_partkey % 3 when 0 then 0.5 when 1 then 0.2 else 0.06 end) as w,
+ 0.01 + cast(p_partkey * 29 % 67 as double) / 67 * (case p_partkey % 3 when 0 then 0.3 when 1 then 0.1 else 0.04 end) as h
+from {part}
+"""
+
 HISTORY = """
 select ts as timestamp, concat('img_', cast(user_id as string), '.jpg') as image_name,
  cast(case when event_type = 'error' then 0 else event_id % 3 end as int) as nb_plates,
@@ -191,14 +199,18 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def predictions_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def anchor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, ANCHOR_TABLE, "part")
+
+
+def predictions_wide(spark: SparkSession, sf_dir: str, n_anchors: int = N_ANCHORS) -> DataFrame:
     """The same predictions as a model returns them: one row per image, flat arrays made in a Python worker."""
     def fill(names: list[str]):
         @F.arrow_udf("array<double>")
         def run(keys: pa.Array) -> pa.Array:
-            k, a = keys.to_numpy(zero_copy_only=False)[:, None], np.arange(N_ANCHORS)
+            k, a = keys.to_numpy(zero_copy_only=False)[:, None], np.arange(n_anchors)
             cells = np.stack([PRED_ARRAYS[n](k, a) for n in names], axis=2)
-            starts = np.arange(len(keys) + 1) * (N_ANCHORS * len(names))
+            starts = np.arange(len(keys) + 1) * (n_anchors * len(names))
             return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(cells.ravel()))
 
         return run.asNondeterministic()(F.col("c_custkey"))

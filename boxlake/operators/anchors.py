@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
+from boxlake.operators.overlap import CORNERS, overlaps
 
 # Grid resolution and anchor edge per level, in level order.
 LEVELS = ((32, 0.1), (16, 0.2), (8, 0.4))
@@ -136,6 +137,28 @@ def match_anchors(boxes: DataFrame, min_iou: float = NEGATIVE_IOU) -> DataFrame:
     ).where(F.col("iou") >= t)
 
 
+def match_anchor_table(boxes: DataFrame, anchors: DataFrame, min_iou: float = NEGATIVE_IOU) -> DataFrame:
+    """`match_anchors` for an anchor table of the caller (anchor_id, cx, cy, w, h), of any places and sizes.
+
+    Boxes and anchors meet in a tile index, so no box is compared with an anchor that it can't reach. The
+    anchor's own box comes as `acx`, `acy`, `aw`, `ah`.
+    """
+    if not 0.0 < min_iou <= 1.0:
+        raise ValueError("min_iou must be above 0 and at most 1")
+
+    def cornered(frame: DataFrame) -> DataFrame:
+        doubles = frame.withColumns({c: F.col(c).cast("double") for c in ("cx", "cy", "w", "h")})
+        doubles = doubles.where((F.col("w") > 0) & (F.col("h") > 0))
+        return doubles.withColumns(dict(zip(CORNERS, G.cxcywh_to_xyxy(G.Box.of("cx", "cy", "w", "h")))))
+
+    pairs = overlaps(cornered(boxes), cornered(anchors.select("anchor_id", "cx", "cy", "w", "h")), min_iou)
+    rest = [c for c in boxes.columns if c not in ("cx", "cy", "w", "h")]
+    return pairs.select(
+        *[F.col("a")[c].alias(c) for c in (*rest, "cx", "cy", "w", "h")], "b.anchor_id",
+        *[F.col("b")[c].alias(f"a{c}") for c in ("cx", "cy", "w", "h")], "iou",
+    )
+
+
 def best_gt(pairs: DataFrame, on: Sequence[str] = ("image_name",)) -> DataFrame:
     """Per image and anchor the best IoU and its box; equal IoU goes to the smallest box in box order.
 

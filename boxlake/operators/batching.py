@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -86,9 +86,20 @@ def make_batches(
     return numbered.withColumn("batch_id", F.floor(F.col("ordinal") / F.lit(batch_size)))
 
 
-def image_at(images: DataFrame, index: int, key: Column, tie: Sequence[str] = ("image_name",)) -> DataFrame:
-    """Name of the example at a position in key order."""
-    return with_ordinal(images, key, tie).where(F.col("ordinal") == F.lit(index)).select("ordinal", "image_name")
+def store_ordered(images: DataFrame, path: str, key: Column, tie: Sequence[str] = ("image_name",), row_group_bytes: int = 1 << 20) -> None:
+    """Write the rows with their `ordinal` in key order, sorted by it within and across files.
+
+    The extremes that Parquet keeps for every file and row group then tell where a position lies.
+    """
+    numbered = with_ordinal(images, key, tie)
+    tasks = max(int(images.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    ordered = numbered.repartitionByRange(tasks, "ordinal").sortWithinPartitions("ordinal")
+    ordered.write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(path)
+
+
+def image_at(spark: SparkSession, path: str, index: int) -> DataFrame:
+    """Name of the example at a position of a table written by `store_ordered`: a pushed-down filter, no shuffle."""
+    return spark.read.parquet(path).where(F.col("ordinal") == F.lit(index)).select("ordinal", "image_name")
 
 
 def sample_images(images: DataFrame, key: Column, n: int = 24) -> DataFrame:

@@ -15,15 +15,16 @@ from pyspark.sql import types as T
 
 from boxlake.functions import geometry as G
 from boxlake.operators.anchors import N_ANCHORS, anchor_box, anchor_grid
+from boxlake.operators import overlap
 from boxlake.operators.batching import spread_by
-from boxlake.session import scratch_dir
+from boxlake.operators.overlap import CORNERS
+from boxlake.session import written
 
 # Default score threshold, overlap threshold and boxes kept per image.
 SCORE_THRESHOLD = 0.5
 NMS_THRESHOLD = 0.4
 MAX_DETECTIONS = 100
 
-CORNERS = ("x1", "y1", "x2", "y2")
 DETECTED = "array<struct<anchor_id:int,score:double,x1:double,y1:double,x2:double,y2:double>>"
 
 
@@ -171,61 +172,95 @@ def nms_any(
     threshold: float = NMS_THRESHOLD,
     limit: int = MAX_DETECTIONS,
     on: Sequence[str] = ("image_name",),
-    block: int = 1000,
 ) -> DataFrame:
-    """`nms` for groups of any size, without any of them passing through one task.
-
-    Works in rounds. A round takes the `block` best boxes of each open image and suppresses among
-    them; everything ranked lower is then tested, row by row and in parallel, against the at most
-    `limit` boxes kept so far, and the survivors form the next round. Every round keeps at least
-    one box per open image, and an image closes at `limit` boxes or when nothing is left, so there
-    are at most `limit` rounds (one, when all images fit in a block). Rounds are cut by written
-    tables, so a lost executor costs one round at most. A block of up to 1000 rows is cut out before
-    the shuffle (Spark's own bound for limits inside windows).
+    """`nms` for groups of any size: kept rows with `det_rank`, in independent-set rounds.
+
+    A box without a better undecided neighbour (IoU above the threshold) stays and its neighbours go. First, for
+    DENSE_PASSES passes, neighbours are judged by tiles: a box that is the best of every tile it is entered in
+    stays, and what it overlaps goes; a tile has one such box at most, so a pass is linear in the rows however dense
+    they lie. The conflict graph of the rest comes from the tile join and is worked off in rounds of joins by row.
+    The result is that of the greedy order. No step ranks or gathers the rows of an image; rows that rank behind
+    `limit` kept ones are dropped early. Passes and rounds are cut by written tables.
     """
-    on = list(on)
-    spark = boxes.sparkSession
-    threshold = check_threshold("overlap threshold", threshold)
-    root = scratch_dir(spark, "nms")
-    columns = [*on, "anchor_id", "score", *CORNERS]
-    place = F.struct((-F.col("score")).alias("negative"), "anchor_id", *CORNERS)
-    order = W.partitionBy(*on).orderBy(F.col("score").desc(), "anchor_id", *CORNERS)
-    rest = boxes.select(*columns, F.lit(0).alias("done"))
-    rounds: list[DataFrame] = []
-    for number in range(limit):
-        top = rest.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= F.lit(block))
-        kept = nms(top, threshold, limit, on).groupBy(*on).agg(
-            F.array_sort(F.collect_list(F.struct("det_rank", "anchor_id", "score", *CORNERS))).alias("found")
-        )
-        ends = top.groupBy(*on).agg(
-            F.max(place).alias("last"), F.first("done").alias("done"), F.count(F.lit(1)).alias("seen")
-        )
-        path = f"{root}/kept-{number}"
-        found = F.slice("found", F.lit(1), F.lit(limit) - F.col("done"))
-        kept.join(ends, on).withColumn("found", found).write.parquet(path)
-        state = spark.read.parquet(path)
-        rounds.append(state.select(*on, "done", F.inline("found")))
-        so_far = F.col("done") + F.size("found")
-        ahead = state.where((F.col("seen") == block) & (so_far < limit)).select(
-            *on, "found", "last", so_far.alias("so_far")
-        )
-        overlap = F.exists(
-            "found",
-            lambda k: G.box_iou(G.Box(*[k[c] for c in CORNERS]), G.Box.of(*CORNERS)) > F.lit(threshold),
-        )
-        left = rest.drop("done").join(ahead, on).where((place > F.col("last")) & ~overlap).select(
-            *columns, F.col("so_far").alias("done")
-        )
-        path = f"{root}/left-{number}"
-        left.write.parquet(path)
-        rest = spark.read.schema(left.schema).parquet(path)
-        if rest.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, rounds).select(
-        *columns, (F.col("done") + F.col("det_rank")).alias("det_rank")
+    on, threshold = list(on), check_threshold("overlap threshold", threshold)
+    rank = ("negative", "anchor_id", *CORNERS, "uid")
+    cells = [F.col(c).cast("double").alias(c) for c in CORNERS]
+    rows = written(boxes.select(*on, "anchor_id", "score", *cells, F.monotonically_increasing_id().alias("uid")), "nms-rows")
+    order = F.struct(*rank).alias("place")
+    ranked = rows.withColumn("negative", -F.col("score")).select("*", order)
+    area = (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))
+    # a box without an area overlaps nothing
+    sure = [ranked.where(~F.coalesce(area, F.lit(False))).select(*on, "place")]
+    rest = written(ranked.where(area).select(*on, "place"), "nms-open")
+    for _ in range(DENSE_PASSES):
+        best, rest = _dense_pass(rest, threshold, on)
+        sure.append(best)
+        rest = _within_limit(rest, reduce(DataFrame.unionByName, sure), limit, on)
+    sure.append(_independent(rest, threshold, on))
+    place = W.partitionBy(*on).orderBy("place")
+    kept = reduce(DataFrame.unionByName, sure).withColumn("rn", F.row_number().over(place)).where(F.col("rn") <= F.lit(limit))
+    return kept.select(
+        *on, "place.anchor_id", (-F.col("place.negative")).alias("score"), *[F.col(f"place.{c}") for c in CORNERS],
+        (F.col("rn") - 1).alias("det_rank"),
     )
 
 
+# Passes that thin crowded places before conflicts are listed.
+DENSE_PASSES = 2
+
+
+def _classed(rows: DataFrame, threshold: float, on: list[str]) -> DataFrame:
+    return overlap.with_classes(rows.select(*on, "place", *[F.col(f"place.{c}").alias(c) for c in CORNERS]), threshold)
+
+
+def _dense_pass(rows: DataFrame, threshold: float, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that lead all their tiles, and the others that no leader overlaps."""
+    classed = _classed(rows, threshold, on).withColumn("n_tiles", overlap.tile_count())
+    box = F.struct("place", *CORNERS, "kx", "ky")
+    tiles = overlap.in_tiles(classed).select(*on, *overlap.TILE, "wx", "wy", box.alias("a"), "n_tiles")
+    firsts = tiles.groupBy(*on, *overlap.TILE).agg(F.min(F.struct(F.col("a.place").alias("place"), "n_tiles")).alias("first"))
+    led = firsts.groupBy(*on, "first").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == F.col("first.n_tiles"))
+    best = written(led.select(*on, "first.place"), "nms-best")
+    leaders = overlap.in_tiles(_classed(best, threshold, on)).select(*on, *overlap.TILE, box.alias("b"))
+    hit = tiles.join(leaders, [*on, *overlap.TILE]).where(
+        overlap.meets_here("a", "b") & (overlap.iou_of("a", "b") > F.lit(threshold))
+    )
+    # a leader overlaps itself
+    gone = hit.select(F.col("a.place.uid").alias("uid"))
+    return best, written(rows.join(gone, F.col("place.uid") == F.col("uid"), "left_anti"), "nms-open")
+
+
+def _within_limit(rows: DataFrame, kept: DataFrame, limit: int, on: list[str]) -> DataFrame:
+    """Rows that rank before the `limit`-th kept row of their image."""
+    place = W.partitionBy(*on).orderBy("place")
+    last = kept.withColumn("rn", F.row_number().over(place)).where(F.col("rn") <= F.lit(limit)).where(F.col("rn") == F.lit(limit))
+    return rows.join(last.select(*on, F.col("place").alias("last")), on, "left").where(
+        F.col("last").isNull() | (F.col("place") < F.col("last"))
+    ).drop("last")
+
+
+def _independent(rows: DataFrame, threshold: float, on: list[str]) -> DataFrame:
+    """The rows that greedy suppression keeps, from their conflict graph."""
+    rows = written(rows, "nms-open")
+    corners = rows.select(*on, "place", *[F.col(f"place.{c}").alias(c) for c in CORNERS])
+    pairs = overlap.overlaps(corners, corners, threshold, on, spread=True).where(
+        (F.col("iou") > F.lit(threshold)) & (F.col("a.place") < F.col("b.place"))
+    )
+    edges = written(pairs.select(F.col("a.place.uid").alias("better"), F.col("b.place.uid").alias("worse")), "nms-edges")
+    gone: list[DataFrame] = []
+    while not edges.isEmpty():
+        stay = edges.select("better").join(edges.select(F.col("worse").alias("better")), "better", "left_anti").distinct()
+        out = written(edges.join(stay, "better").select(F.col("worse").alias("uid")).distinct(), "nms-gone")
+        gone.append(out)
+        edges = written(
+            edges.join(out, F.col("worse") == F.col("uid"), "left_anti").join(out, F.col("better") == F.col("uid"), "left_anti"),
+            "nms-edges",
+        )
+    for out in gone:
+        rows = rows.join(out, F.col("place.uid") == F.col("uid"), "left_anti")
+    return rows
+
+
 def ranked_boxes(logits: np.ndarray, deltas: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
     """Anchors, scores and corners of the candidates of one image, best first.
 

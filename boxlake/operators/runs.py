@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from boxlake.session import written
 
 # Epochs without improvement that stop a run; learning rate schedule.
 STOP_PATIENCE = 10
@@ -76,7 +76,7 @@ def plateau_lr(
 
     An epoch improves when its loss is below the tracked best by the relative threshold. Between two
     improvements the rate falls once per `patience` + 1 epochs, so only the improvements have to be
-    replayed in order. They are found among the strict minima of the run (for losses of at least 0
+    known. They are found among the strict minima of the run (for losses of at least 0
     every improvement is one); below 0 every epoch is a candidate. The rate follows by counting.
     """
     lowest = F.col("best_before")
@@ -110,25 +110,65 @@ def plateau_lr(
 def _improvements(points: DataFrame, threshold: float) -> DataFrame:
     """(run_id, since): the points that improve on the tracked best by the relative threshold.
 
-    Whether one does hangs on the one before, so the points of a run stream through one task in order; a task
-    holds one loss and one Arrow batch, whatever the length of a run.
+    Every point has one successor, the first later point that improves on it; the improvements are the chain that
+    starts at the first point of the run. It is marked by pointer doubling: a round adds the points as many steps
+    ahead as are marked already and doubles the steps, so a chain of n points takes log2(n) rounds of joins by
+    point, and no run is replayed in order anywhere.
     """
-    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begun, at, best = False, None, float("inf")
-        for batch in batches:
-            kept = []
-            for i, (run, loss) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
-                if not begun or run != at:
-                    begun, at, best = True, run, float("inf")
-                if loss is not None and loss < best * (1.0 - threshold):
-                    best = loss
-                    kept.append(i)
-            rows = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays(rows.columns[:2], ["run_id", "since"])
-
-    ordered = points.repartition("run_id").sortWithinPartitions("run_id", "epoch")
-    schema = T.StructType([points.schema["run_id"], T.StructField("since", points.schema["epoch"].dataType)])
-    return ordered.mapInArrow(replay, schema)
+    points = written(points.where(F.col("val_loss") < F.lit(float("inf"))), "points")
+    bound = (F.col("val_loss") * F.lit(1.0 - threshold)).alias("bound")
+    jumps = written(first_later_below(points, points.select("run_id", "epoch", bound)), "jumps")
+    marked = [written(points.groupBy("run_id").agg(F.min("epoch").alias("epoch")), "marked")]
+    while True:
+        so_far = reduce(DataFrame.unionByName, marked)
+        ahead = so_far.join(jumps, ["run_id", "epoch"]).select("run_id", F.col("later").cast(points.schema["epoch"].dataType).alias("epoch"))
+        marked.append(written(ahead, "marked"))
+        if marked[-1].isEmpty():
+            return so_far.withColumnRenamed("epoch", "since")
+        onward = jumps.select("run_id", F.col("epoch").alias("later"), F.col("later").alias("last"))
+        jumps = written(jumps.join(onward, ["run_id", "later"]).select("run_id", "epoch", F.col("last").alias("later")), "jumps")
+
+
+# Children of a node of the tree of minima below.
+FAN = 128
+
+
+def first_later_below(log: DataFrame, asked: DataFrame) -> DataFrame:
+    """(run_id, epoch, later): for every row (run_id, epoch, bound) the first later epoch with a loss below its bound.
+
+    Minima over blocks of FAN epochs, of FAN blocks and so on form a shallow tree per run, stored as a table per level. A
+    row looks among the later siblings of its node, goes up until one has a minimum below the bound and from there
+    down to the first epoch; each step is a join by node, and a node has FAN children at most.
+    """
+    top = log.agg(F.max("epoch")).first()[0] or 0
+    kids = log.select("run_id", F.col("epoch").cast("long").alias("child"), F.col("val_loss").alias("low"))
+    levels: list[DataFrame] = []
+    while True:
+        nodes = kids.groupBy("run_id", F.floor(F.col("child") / F.lit(FAN)).alias("parent")).agg(
+            F.array_sort(F.collect_list(F.struct("child", "low"))).alias("kids")
+        )
+        levels.append(written(nodes, "minima"))
+        if top < FAN:
+            break
+        top //= FAN
+        least = F.array_min(F.transform("kids", lambda k: k["low"]))
+        kids = levels[-1].select("run_id", F.col("parent").alias("child"), least.alias("low"))
+
+    def first(condition) -> Column:
+        return F.get(F.filter("kids", condition), F.lit(0))["child"]
+
+    rows, hits = asked.withColumn("node", F.col("epoch").cast("long")), []
+    for level in levels:
+        parent = rows.withColumn("parent", F.floor(F.col("node") / F.lit(FAN)))
+        found = first(lambda k: (k["child"] > F.col("node")) & (k["low"] < F.col("bound")))
+        met = written(parent.join(level, ["run_id", "parent"]).withColumn("found", found).drop("kids"), "climbed")
+        hits.append(met.where(F.col("found").isNotNull()).select("run_id", "epoch", "bound", F.col("found").alias("node")))
+        rows = met.where(F.col("found").isNull()).select("run_id", "epoch", "bound", F.col("parent").alias("node"))
+    reached = hits[-1]
+    for level, hit in zip(levels[-2::-1], hits[-2::-1]):
+        down = reached.join(level.withColumnRenamed("parent", "node"), ["run_id", "node"])
+        reached = hit.unionByName(down.select("run_id", "epoch", "bound", first(lambda k: k["low"] < F.col("bound")).alias("node")))
+    return reached.select("run_id", "epoch", F.col("node").alias("later"))
 
 
 def _rates(start: float, factor: float, floor: float, eps: float) -> list[float]:

@@ -6,6 +6,7 @@ not mean shipping millions of rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import datetime
 
@@ -152,6 +153,17 @@ from fx_train_log
 }
 
 
+# the same views over the anchor table in place of the grid
+VIEWS["fa_anchors"] = "select anchor_id, 0 as lvl, cx as acx, cy as acy, w as aw, h as ah from (" + X.ANCHOR_TABLE.format(part="part") + ")"
+VIEWS["fa_preds"] = (
+    "select concat('img_', cast(c_custkey as string)) as image_name, a as anchor_id, "
+    + ", ".join(f"{t.format(k='c_custkey', a='a')} as {n}" for n, t in X.PRED_COLUMNS.items())
+    + " from customer cross join (select anchor_id as a from fa_anchors)"
+)
+for _name in ("pairs", "best", "focal", "hard", "image_loss"):
+    VIEWS[f"fa_{_name}"] = re.sub("fx_(anchors|preds|pairs|best|focal|hard)", r"fa_\1", VIEWS[f"fx_{_name}"])
+
+
 def _needs(body: str) -> list[str]:
     """Views a text uses, in dependency order."""
     out: list[str] = []
@@ -417,7 +429,9 @@ select ordinal, image_name from (
  select image_name, row_number() over (order by (image_no * {B.KEY_FACTOR} + {SEED}) % {B.KEY_BOUND}, image_name) - 1 as ordinal from fx_images)
 where ordinal = 500""")
 def _(spark, d):
-    return B.image_at(X.images(spark, d), 500, _key())
+    out = scratch_dir(spark, "ordered")
+    B.store_ordered(X.images(spark, d), out, _key())
+    return B.image_at(spark, out, 500)
 
 
 @query("sample_images", f"""
@@ -551,6 +565,23 @@ def _(spark, d):
     return N.anchor_coverage(X.labels(spark, d))
 
 
+@query("match_anchor_table", """
+select image_name, anchor_id, count(*) as n_pairs, round(sum(iou), 6) as sum_iou, round(max(iou), 9) as max_iou
+from fa_pairs where iou >= 0.3 group by 1, 2""")
+def _(spark, d):
+    pairs = N.match_anchor_table(X.labels(spark, d), X.anchor_table(spark, d))
+    agg = pairs.groupBy("image_name", "anchor_id").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.sum("iou").alias("sum_iou"), F.max("iou").alias("max_iou")
+    )
+    return rounded(rounded(agg, 6, "sum_iou"), 9, "max_iou")
+
+
+@query("best_gt_of_table", f"select image_name, anchor_id, round(iou, 9) as best_iou, {r('cx, cy, w, h')} from fa_best")
+def _(spark, d):
+    best = N.best_gt(N.match_anchor_table(X.labels(spark, d), X.anchor_table(spark, d)))
+    return rounded(rounded(best, 6, *BOX), 9, "best_iou")
+
+
 @query("encode_boxes", """
 select image_name, anchor_id, round(10 * (cx - acx) / aw, 6) as dx, round(10 * (cy - acy) / ah, 6) as dy,
  round(5 * ln(w / aw), 6) as dw, round(5 * ln(h / ah), 6) as dh from fx_best where iou > 0.5""")
@@ -643,6 +674,23 @@ def _(spark, d):
     return rounded(kept, 6, "score", *D.CORNERS)
 
 
+# three images that hold all label boxes, drawn together around the corners of a 40 x 40 grid
+CROWDED = """
+select concat('scene_', cast(row_no % 3 as string)) as image_name, row_no as anchor_id, cast((row_no * 7919) % 1009 as double) / 1009 as score,
+ px - sx as x1, py - sy as y1, px + sx as x2, py + sy as y2 from (
+ select row_no, floor(cx * 40) / 40 + (cx * 40 - floor(cx * 40)) * 0.006 as px, floor(cy * 40) / 40 + (cy * 40 - floor(cy * 40)) * 0.006 as py,
+  0.006 + w / 80 as sx, 0.006 + h / 80 as sy from (
+  select *, cast(row_number() over (order by image_name, class_id, cx, cy, w, h) as int) as row_no from {labels}))
+"""
+VIEWS["fx_crowd"] = CROWDED.format(labels="fx_labels")
+
+
+@query("nms_any", NMS_SQL.format(threshold=-1, limit=400).replace("fx_decoded", "fx_crowd"), recursive=True)
+def _(spark, d):
+    kept = D.nms_any(spark.sql(CROWDED, labels=X.labels(spark, d)), 0.4, 400)
+    return rounded(kept, 6, "score", *D.CORNERS)
+
+
 @query("predict", NMS_SQL.format(threshold=0.9, limit=100), recursive=True)
 def _(spark, d):
     found = D.predict(X.predictions_wide(spark, d), 0.9)
@@ -694,6 +742,13 @@ def _(spark, d):
     return rounded(TL.image_loss(X.predictions_wide(spark, d), X.labels(spark, d)), 6, "cls_loss", "reg_loss")
 
 
+@query("image_loss_of_table", "select image_name, n_gt, n_pos::int as n_pos, n_neg::int as n_neg, round(cls_loss, 6) as cls_loss, round(reg_loss, 6) as reg_loss from fa_image_loss")
+def _(spark, d):
+    anchors = X.anchor_table(spark, d)
+    wide = X.predictions_wide(spark, d, anchors.count())
+    return rounded(TL.image_loss(wide, X.labels(spark, d), anchors=anchors), 6, "cls_loss", "reg_loss")
+
+
 def _batch_losses(spark, d) -> DataFrame:
     return evaluate.batch_losses(X.images(spark, d), X.predictions_wide(spark, d), X.labels(spark, d), _key(), F.col("image_no"))
 

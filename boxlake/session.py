@@ -11,7 +11,7 @@ import zipfile
 from functools import lru_cache
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -73,3 +73,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
         base = _local_scratch()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared scratch folder: its rows stay as they are and its size is known."""
+    spark = frame.sparkSession
+    path = scratch_dir(spark, purpose)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

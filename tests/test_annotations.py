@@ -118,3 +118,18 @@ def test_ordinals_with_equal_keys(spark):
 def test_sample_of_fewer(spark):
     frame = spark.createDataFrame([("a",), ("b",)], "image_name string")
     assert B.sample_images(frame, B.name_key(F.col("image_name"), 3)).count() == 2
+
+
+def test_stored_positions_are_found_by_a_pushed_filter(spark, tmp_path):
+    frame = spark.range(3000).select(F.concat(F.lit("i"), F.col("id").cast("string")).alias("image_name"), "id")
+    path = str(tmp_path / "ordered")
+    B.store_ordered(frame, path, B.shuffle_key(F.col("id"), 3), row_group_bytes=4096)
+    order = sorted(range(3000), key=lambda i: ((i * B.KEY_FACTOR + 3) % B.KEY_BOUND, f"i{i}"))
+    for at in (0, 1234, 2999):
+        found = B.image_at(spark, path, at)
+        assert [tuple(r) for r in found.collect()] == [(at, f"i{order[at]}")]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert f"EqualTo(ordinal,{at})" in plan and not any(word in plan for word in ("Exchange", "Window", "Sort"))
+    assert B.image_at(spark, path, 3000).count() == 0
+    spans = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("ordinal").alias("a"), F.max("ordinal").alias("z")).orderBy("a").collect()
+    assert len(spans) > 1 and all(one.z < two.a for one, two in zip(spans, spans[1:]))

@@ -71,7 +71,7 @@ def test_nms_over_several_arrow_batches(spark):
 @pytest.mark.parametrize("limit", [10, 1000])
 def test_nms_any_in_rounds(spark, limit):
     rows = random_candidates({"hot": 900, "a": 30, "b": 1, "c": 64}, seed=4)
-    kept = D.nms_any(frame_of(spark, rows), 0.4, limit, block=64)
+    kept = D.nms_any(frame_of(spark, rows), 0.4, limit)
     assert anchors_by_image(kept) == expected_of(rows, 0.4, limit)
 
 

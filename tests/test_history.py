@@ -1,6 +1,7 @@
 import base64
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +207,49 @@ def test_epoch_log_format(spark, tmp_path):
     assert (sinks.epoch_log_rows(row).first().train_loss, sinks.epoch_log_rows(row).first().lr) == ("1.234568", "0.00012346")
     sinks.append_epoch_log(row, str(tmp_path / "log"))
     assert files.scan_epoch_log(spark, str(tmp_path / "log")).first().val_loss == 1.234568
+
+
+def test_plateau_lr_of_a_long_run_through_a_tree_of_minima(spark, monkeypatch):
+    monkeypatch.setattr(R, "FAN", 4)
+    rng = np.random.default_rng(3)
+    runs = {
+        1: (1.0 / np.arange(1, 900)).tolist(), 2: rng.random(300).tolist(), 3: (rng.random(300) - 0.5).tolist(),
+        4: [float("nan"), 0.5, float("inf"), 0.4, float("nan")] * 20, 5: [float("inf")] * 3,
+    }
+    log = log_of(spark, runs)
+    got = {}
+    for r in R.plateau_lr(log.where("run_id < 5")).orderBy("run_id", "epoch").collect():
+        got.setdefault(r.run_id, []).append(r.lr)
+    assert {k: got[k] for k in (1, 2, 3)} == {k: lr_loop(runs[k]) for k in (1, 2, 3)}
+    rows = log.where("run_id in (2, 3)")
+    later = R.first_later_below(rows, rows.select("run_id", "epoch", (F.col("val_loss") * 0.9).alias("bound"))).collect()
+    want = {
+        (k, e): next((f for f in range(e + 1, 301) if runs[k][f - 1] < runs[k][e - 1] * 0.9), None) for k in (2, 3) for e in range(1, 301)
+    }
+    assert {(r.run_id, r.epoch): r.later for r in later} == {k: v for k, v in want.items() if v}
+
+
+@pytest.mark.parametrize("cut", [40, 97, 128 << 20])
+def test_csv_is_read_in_splits_wherever_it_is_cut(spark, tmp_path, cut):
+    rng = np.random.default_rng(cut)
+    pieces = ["plain", "a, b", 'say ""hi""', "two\nlines", "\n", '""', "three\n\nlines, and ""quotes""", "x" * 200, "", "1,2\r\n3"]
+    for n in range(3):
+        lines = ["timestamp,image_name,nb_plates,detections,status,original_image_path,annotated_image_path"]
+        for i in range(60):
+            fields = [f"t{n}_{i}"] + [pieces[rng.integers(len(pieces))].replace('"', '""') for _ in range(5 + i % 2)]
+            lines.append(",".join(f'"{f}"' if set(f) & set(',"\n\r') or i % 3 else f for f in fields))
+        (tmp_path / f"part-{n}.csv").write_text("\n".join(lines) + ("\n" if n else ""), newline="")
+    (tmp_path / "empty.csv").write_text("")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(cut))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = files.scan_history_rows(spark, str(tmp_path))
+        rows = sorted(got.collect(), key=str)
+        tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    whole = spark.read.schema(files.HISTORY_CSV).options(header=True, multiLine=True, escape='"').csv(str(tmp_path)).collect()
+    assert rows == sorted(whole, key=str) and len(rows) == 180
+    assert cut > 1000 or tasks > 3
