@@ -7,10 +7,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.functions.pixels import encode_png
+from boxlake.functions.pixels import MEAN, STD, encode_png
 from boxlake.operators.anchors import N_ANCHORS
 from boxlake.operators.annotations import parse_labels
 
@@ -165,6 +165,20 @@ def marked_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tensor_bytes(tensor: Column) -> Column:
+    """A channel-first model input scaled back to one byte per value."""
+    @F.arrow_udf("binary")
+    def run(batch: pa.Array) -> pa.Array:
+        out = []
+        for cell in batch:
+            planes = np.asarray(cell.as_py()).reshape(3, -1)
+            cells = np.rint((planes * np.array(STD)[:, None] + np.array(MEAN)[:, None]) * 255.0)
+            out.append(cells.astype(np.uint8).tobytes())
+        return pa.array(out, pa.binary())
+
+    return run.asNondeterministic()(tensor)
+
+
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, IMAGES, "orders")
 

@@ -104,18 +104,23 @@ def hourly_predictions(history: DataFrame) -> DataFrame:
     )
 
 
-def upload_filter(uploads: DataFrame) -> DataFrame:
-    """Images of an upload: type image/*, name without folders, the last of equal names.
-
-    Needs `filename`, `content_type` and the upload order `seq`. An unnamed file is called after
-    its place. Spark keeps one row per name and task before the shuffle.
-    """
-    named = uploads.where(F.col("content_type").startswith("image/")).withColumn(
+def named_images(uploads: DataFrame) -> DataFrame:
+    """Images of an upload under their names without folders; an unnamed file is called after its place `seq`."""
+    return uploads.where(F.col("content_type").startswith("image/")).withColumn(
         "filename",
         F.when(
             F.coalesce("filename", F.lit("")) == "", F.concat(F.lit("img_"), F.col("seq").cast("string"), F.lit(".jpg"))
         ).otherwise(paths.base_name(F.col("filename"))),
     )
+
+
+def upload_filter(uploads: DataFrame) -> DataFrame:
+    """Images of an upload: type image/*, name without folders, the last of equal names.
+
+    Needs `filename`, `content_type` and the upload order `seq`. Spark keeps one row per name and task
+    before the shuffle. `streaming.uploads` does the same across the triggers of a stream.
+    """
+    named = named_images(uploads)
     last = W.partitionBy("filename").orderBy(F.col("seq").desc())
     return named.withColumn("rn", F.row_number().over(last)).where(F.col("rn") == 1).drop("rn")
 

@@ -160,7 +160,11 @@ def annotate_plan(rows: DataFrame) -> DataFrame:
         d["x_min"].alias("x_min"), d["y_min"].alias("y_min"), d["x_max"].alias("x_max"), d["y_max"].alias("y_max"),
         F.lit("#%02X%02X%02X" % BOX_COLOUR).alias("box_color"),
         F.lit(BOX_WIDTH).alias("box_width"),
-        F.format_string("Plate %d: %.2f", F.col("pos") + 1, d["confidence"]).alias("label"),
+        # the exact value decides on the last digit, as in C and Python; `%.2f` of format_string rounds the printed digits
+        F.concat(
+            F.lit("Plate "), (F.col("pos") + 1).cast("string"), F.lit(": "),
+            F.call_function("format_number", d["confidence"], F.lit("0.00")),
+        ).alias("label"),
         d["x_min"].alias("label_x"),
         (d["y_min"] - LABEL_RISE).alias("label_y"),
     )

@@ -28,7 +28,8 @@ from boxlake.operators import training_loss as TL
 from boxlake.plans import evaluate, preprocess, score
 from boxlake.session import scratch_dir
 from boxlake.sources import files, sinks
-from boxlake.streaming import inbox
+from boxlake.streaming import inbox, uploads
+from boxlake.streaming import runs as followed
 from boxlake.stub_model import make_marked, make_stub
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -816,6 +817,37 @@ def _(spark, d):
     return H.latest_history(X.history(spark, d)).select("event_id", "timestamp", "image_name", "nb_plates", "status")
 
 
+def _stored_in_batches(spark, d) -> str:
+    """The history as six batches of equal lengths of time, by two writers."""
+    out = scratch_dir(spark, "history-batches")
+    rows = X.history(spark, d).select("event_id", "timestamp", "image_name", "nb_plates", "status")
+    span = rows.agg(F.unix_seconds(F.min("timestamp").cast("timestamp")).alias("a"), F.unix_seconds(F.max("timestamp").cast("timestamp")).alias("z")).first()
+    if span.a is None:
+        sinks.append_history(rows, out, "a", 0)
+        return out
+    part = F.floor((F.unix_seconds(F.col("timestamp").cast("timestamp")) - span.a) * 6 / (span.z - span.a + 1))
+    for n in range(6):
+        sinks.append_history(rows.where(part == n), out, "ab"[n % 2], n)
+    return out
+
+
+NEWEST_SCHEMA = "event_id long, timestamp timestamp_ntz, image_name string, nb_plates int, status string"
+
+
+@query("latest_history_of_batches", "select event_id, timestamp, image_name, nb_plates, status from fx_history order by timestamp desc, event_id desc limit 30")
+def _(spark, d):
+    near = sinks.read_newest_history(spark, _stored_in_batches(spark, d), NEWEST_SCHEMA, H.SERVICE_LIMIT)
+    return H.latest_history(near).drop("writer", "batch_id")
+
+
+@query("history_stats_of_batches", """
+select count(*) as total_predictions, sum(nb_plates)::bigint as total_plates
+from (select nb_plates from fx_history order by timestamp desc, event_id desc limit 1000)""")
+def _(spark, d):
+    near = sinks.read_newest_history(spark, _stored_in_batches(spark, d), NEWEST_SCHEMA, H.STATS_ROWS)
+    return H.history_stats(near, newest=H.STATS_ROWS)
+
+
 @query("history_view", """
 select event_id, date_trunc('second', timestamp)::timestamp as datetime, image_name as filename, nb_plates, status, detections from fx_history""")
 def _(spark, d):
@@ -879,6 +911,33 @@ def _(spark, d):
     return rounded(H.upload_filter(X.uploads(spark, d)).drop("content_type"), 6, "value")
 
 
+# uploads of a name within a day of each other are one session; two rows of a later year close them all and stay open themselves
+@query("stream_uploads", """
+select filename, seq, round(value, 6) as value from (
+ select *, row_number() over (partition by filename, session order by seq desc) as rn from (
+  select *, sum(case when arrived < before + interval 1 day then 0 else 1 end) over (partition by filename order by arrived rows unbounded preceding) as session from (
+   select *, lag(arrived) over (partition by filename order by arrived) as before from (
+    select u.seq, u.value, e.ts as arrived, case when filename = '' then concat('img_', cast(seq as string), '.jpg') else regexp_extract(filename, '([^/]*)$', 1) end as filename
+    from fx_uploads u join events e on e.event_id = u.seq where content_type like 'image/%')))) where rn = 1""")
+def _(spark, d):
+    """The uploads as files of a stream in three parts by time, each read by a query that goes on from the checkpoint."""
+    root = scratch_dir(spark, "uploads")
+    events = X.table(spark, d, "events").select(F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("arrived"))
+    arrivals = X.uploads(spark, d).join(events, "seq")
+    day = F.dayofmonth("arrived")
+    closing = arrivals.sparkSession.range(1).select(
+        F.lit(-1).cast("long").alias("seq"), F.lit("end").alias("filename"), F.lit("image/jpeg").alias("content_type"),
+        F.lit(0.0).alias("value"), F.lit("2100-01-01 00:00:00").cast("timestamp").alias("arrived"),
+    )
+    for part in (arrivals.where(day <= 10), arrivals.where((day > 10) & (day <= 20)), arrivals.where(day > 20), closing, closing):
+        part.select(closing.columns).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(closing.schema).parquet(f"{root}/in")
+        settled = uploads.settled_uploads(stream, "1 day", "1 hour")
+        uploads.store_settled(settled, f"{root}/out", f"{root}/state").awaitTermination()
+    stored = sinks.read_history(spark, f"{root}/out", "filename string, seq long, value double")
+    return rounded(stored.select("filename", "seq", "value"), 6, "value")
+
+
 @query("migrate_history", """
 select l.image_name, l.nb_plates, l.status, case when l.original_image_path like 'images/%' then l.original_image_path else '' end as original_image_path,
  case when l.annotated_image_path is not null then l.annotated_image_path when l.original_image_path like '/9j/%'
@@ -974,6 +1033,30 @@ def _(spark, d):
     return R.early_stop(X.train_log(spark, d))
 
 
+def _decisions(spark, d) -> DataFrame:
+    """Decisions on a stream of epochs that goes on from its checkpoint twice."""
+    root = scratch_dir(spark, "followed")
+    log = X.train_log(spark, d).select("run_id", "epoch", "val_loss")
+    for part in ("epoch <= 15", "epoch > 15 and epoch <= 40", "epoch > 40"):
+        log.where(part).write.mode("append").parquet(f"{root}/log")
+        stream = spark.readStream.schema(log.schema).parquet(f"{root}/log")
+        followed.store_decisions(followed.follow_runs(stream), f"{root}/out", f"{root}/state").awaitTermination()
+    schema = "run_id long, epoch int, val_loss double, is_best boolean, stop_epoch int"
+    return sinks.read_history(spark, f"{root}/out", schema).drop("writer", "batch_id")
+
+
+@query("stream_best_epoch", "select run_id, epoch, val_loss, is_best from fx_epochs")
+def _(spark, d):
+    return _decisions(spark, d).drop("stop_epoch")
+
+
+@query("stream_early_stop", """
+select run_id, min(epoch) filter (where epoch - last_best >= 10) as stop_epoch, max(epoch) as last_epoch from (
+ select *, max(case when is_best then epoch end) over (partition by run_id order by epoch) as last_best from fx_epochs) group by 1""")
+def _(spark, d):
+    return followed.stops(_decisions(spark, d))
+
+
 @query("run_summary", """
 select run_id, count(*) as n_epochs, min(val_loss) as best_val_loss, arg_min(epoch, (val_loss, epoch)) as best_epoch, arg_max(val_loss, epoch) as last_val_loss,
  cast(floor(epoch(max(logged_at))) - floor(epoch(min(logged_at))) as bigint) as total_seconds from fx_train_log group by 1""")
@@ -1047,29 +1130,55 @@ FITTED_SQL = f"""
  from (select *, least(256.0::double / width, 256.0::double / height) as scale from {SIZES} where not broken))"""
 
 
-@query("letterbox_resize", f"select vec_id, scale, pad_x, pad_y, 196608 as n_bytes from {FITTED_SQL}")
+# The same places and sizes for the one-colour pictures of `marked_files`, whose pixels SQL can write out as hex.
+PAINTED_SQL = f"""
+(select *, concat('vec_', cast(vec_id as string), '.png') as filename, lpad(hex(vec_id % {N.N_ANCHORS} // 64 * 10), 2, '0') as red,
+  lpad(hex(vec_id % {N.N_ANCHORS} % 64 * 4), 2, '0') as green, floor(width * scale)::bigint as new_w, floor(height * scale)::bigint as new_h,
+  (pad_x * 256)::bigint as gap_x, (pad_y * 256)::bigint as gap_y from {FITTED_SQL})"""
+
+
+def _canvas_sql(colour: str, width: int) -> str:
+    """Hex text of a fitted picture whose pixels take `width` bytes each: black rows above, rows with black ends, black rows below."""
+    row = f"repeat('00', {width} * gap_x) || repeat({colour}, new_w) || repeat('00', {width} * (256 - gap_x - new_w))"
+    return f"(repeat('00', {width} * 256 * gap_y) || repeat({row}, new_h) || repeat('00', {width} * 256 * (256 - gap_y - new_h)))"
+
+
+RGB_SQL = "red || green || '00'"
+
+
+def _painted(spark, d) -> DataFrame:
+    return X.marked_files(spark, d).withColumn("pixels", PX.decode_rgb(F.col("content"))).drop("content")
+
+
+@query("letterbox_resize", f"select filename, scale, pad_x, pad_y, sha256(from_hex({_canvas_sql(RGB_SQL, 3)})) as image_sha256 from {PAINTED_SQL}")
 def _(spark, d):
-    fitted = _decoded(spark, d).withColumn("lb", PX.letterbox_resize(F.col("pixels")))
+    fitted = _painted(spark, d).withColumn("lb", PX.letterbox_resize(F.col("pixels")))
     return fitted.where(F.col("lb").isNotNull()).select(
-        "vec_id", "lb.scale", "lb.pad_x", "lb.pad_y", F.length("lb.image").alias("n_bytes")
+        "filename", "lb.scale", "lb.pad_x", "lb.pad_y", F.sha2("lb.image", 256).alias("image_sha256")
     )
 
 
-@query("stretch_resize", f"select vec_id, case when broken then -1 else 196608 end as n_bytes from {SIZES}")
+@query("stretch_resize", f"select filename, sha256(from_hex(repeat({RGB_SQL}, 65536))) as image_sha256 from {PAINTED_SQL}")
 def _(spark, d):
-    return _decoded(spark, d).select("vec_id", F.length(PX.stretch_resize(F.col("pixels"))).alias("n_bytes")).fillna(-1)
+    stretched = _painted(spark, d).withColumn("image", PX.stretch_resize(F.col("pixels")))
+    return stretched.where(F.col("image").isNotNull()).select("filename", F.sha2("image", 256).alias("image_sha256"))
 
 
 @query("normalize_tensor", f"""
-select vec_id, 196608 as n_values, case when pad_x > 0 or pad_y > 0 then round((0 - 0.485) / 0.229, 4) end as corner from {FITTED_SQL}""")
+select filename, 196608 as n_values, case when pad_x > 0 or pad_y > 0 then round((0 - 0.485) / 0.229, 4) end as corner,
+ round((('0x' || green)::int / 255 - 0.456) / 0.224, 3) as middle_green,
+ sha256(from_hex({_canvas_sql("red", 1)} || {_canvas_sql("green", 1)} || repeat('00', 65536))) as planes_sha256 from {PAINTED_SQL}""")
 def _(spark, d):
-    fitted = S.prepare(_decoded(spark, d)).where(F.col("error").isNull())
+    """Every value of the tensor, scaled back to a byte, plane by plane; two values as they are."""
+    fitted = S.prepare(_painted(spark, d)).where(F.col("error").isNull())
     prepared = fitted.withColumn("tensor", PX.normalize_tensor(F.col("image")))
     padded = (F.col("pad_x") > 0) | (F.col("pad_y") > 0)
     out = prepared.select(
-        "vec_id", F.size("tensor").alias("n_values"), F.when(padded, F.get("tensor", F.lit(0))).alias("corner")
+        "filename", F.size("tensor").alias("n_values"), F.when(padded, F.get("tensor", F.lit(0))).alias("corner"),
+        F.get("tensor", F.lit(65536 + 128 * 256 + 128)).alias("middle_green"),
+        F.sha2(X.tensor_bytes(F.col("tensor")), 256).alias("planes_sha256"),
     )
-    return rounded(out, 4, "corner")
+    return rounded(rounded(out, 4, "corner"), 3, "middle_green")
 
 
 @query("unpack_struct", f"select vec_id, round(scale, 6) as scale, pad_x, pad_y from {FITTED_SQL}")
@@ -1084,24 +1193,23 @@ def _(spark, d):
     return A.drop_failed_images(fitted).select("vec_id")
 
 
-@query("base64_payload", f"select vec_id, (4 * ((196608 + 2) // 3))::int as n_chars from {SIZES} where not broken")
+@query("base64_payload", f"select filename, sha256(to_base64(from_hex({_canvas_sql(RGB_SQL, 3)}))) as payload_sha256 from {PAINTED_SQL}")
 def _(spark, d):
     image = PX.letterbox_resize(F.col("pixels"))["image"]
-    fitted = A.drop_failed_images(_decoded(spark, d).withColumn("image", image))
-    return fitted.select("vec_id", F.length(PX.base64_payload(F.col("image"))).alias("n_chars"))
+    fitted = A.drop_failed_images(_painted(spark, d).withColumn("image", image))
+    return fitted.select("filename", F.sha2(PX.base64_payload(F.col("image")), 256).alias("payload_sha256"))
 
 
 @query("annotate_plan", """
 select event_id, number::int as number, x_min, y_min, x_max, y_max, '#00FF00' as box_color, 3 as box_width, x_min as label_x, y_min - 20 as label_y,
- concat('Plate ', cast(number as string), ': ') as label_head from (
+ concat('Plate ', cast(number as string), ': ', printf('%.2f', confidence)) as label from (
  select *, row_number() over (partition by event_id order by ord) as number from (
-  select event_id, d.x_min, d.y_min, d.x_max, d.y_max, ord from (
+  select event_id, d.confidence, d.x_min, d.y_min, d.x_max, d.y_max, ord from (
    select event_id, unnest(ds) as d, generate_subscripts(ds, 1) as ord from (
     select event_id, from_json(replace(detections, '''', '"'),
      '[{"confidence":"DOUBLE","x_min":"INTEGER","y_min":"INTEGER","x_max":"INTEGER","y_max":"INTEGER"}]') as ds from fx_history))) )""")
 def _(spark, d):
-    plan = PX.annotate_plan(H.parsed_history(X.history(spark, d)).select("event_id", "detections"))
-    return plan.withColumn("label_head", F.regexp_extract("label", r"^(Plate \d+: )\d\.\d\d$", 1)).drop("label")
+    return PX.annotate_plan(H.parsed_history(X.history(spark, d)).select("event_id", "detections"))
 
 
 # ---------------------------------------------------------------- image trees written by Spark and read back

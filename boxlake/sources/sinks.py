@@ -8,7 +8,7 @@ from urllib.parse import urlparse
 
 import pyarrow as pa
 import pyarrow.fs as fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import paths
@@ -26,10 +26,70 @@ def export_splits(frame: DataFrame, path: str, files_per_split: int | None = Non
     frame.drop("split_id").write.partitionBy("split_name").mode("overwrite").parquet(path)
 
 
-def append_history(rows: DataFrame, path: str, writer: str, batch_id: str | int) -> None:
+# Folder beside the batches of a history: newest and oldest time and rows per batch. Spark skips it when it reads the history.
+BATCH_INDEX = "_batches"
+# A time above all others: what is known of a batch until it is written whole.
+_UNKNOWN = "9999-12-31 00:00:00"
+_SPANS = "oldest timestamp_ntz, newest timestamp_ntz, n_rows long"
+
+
+def append_history(rows: DataFrame, path: str, writer: str, batch_id: str | int, time: str | None = "timestamp") -> None:
     """One folder per writer and batch, replaced when the writer writes the batch again; so a replay adds nothing and
-    writers never touch each other's batches."""
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/writer={writer}/batch_id={batch_id}")
+    writers never touch each other's batches.
+
+    The batch index gets the span of the batch in `time` (None: no index), counted by the write itself. The batch is
+    entered as unknown before it is written, so a batch left behind by a failure is read rather than missed.
+    """
+    place = f"writer={writer}/batch_id={batch_id}"
+    batch = f"{path.rstrip('/')}/{place}"
+    if time is None:
+        rows.write.mode("overwrite").parquet(batch)
+        return
+    entry = f"{path.rstrip('/')}/{BATCH_INDEX}/{place}"
+    _write_span(rows.sparkSession, entry, _UNKNOWN, _UNKNOWN, 0)
+    seen = Observation()
+    stamp = F.col(time).cast("timestamp_ntz")
+    rows.observe(
+        seen, F.min(stamp).cast("string").alias("oldest"), F.max(stamp).cast("string").alias("newest"), F.count(time).alias("n"),
+    ).write.mode("overwrite").parquet(batch)
+    span = seen.get
+    _write_span(rows.sparkSession, entry, span["oldest"], span["newest"], span["n"])
+
+
+def _write_span(spark: SparkSession, entry: str, oldest: str | None, newest: str | None, n: int) -> None:
+    stamps = [F.lit(v).cast("timestamp_ntz").alias(c) for c, v in (("oldest", oldest), ("newest", newest))]
+    spark.range(1, numPartitions=1).select(*stamps, F.lit(n).cast("long").alias("n_rows")).write.mode("overwrite").parquet(entry)
+
+
+def read_newest_history(spark: SparkSession, path: str, schema: str, limit: int, time: str = "timestamp") -> DataFrame:
+    """Rows of a history among which the `limit` newest by `time` surely are; batches without any are not opened.
+
+    Going from the batch with the latest oldest row downwards, `limit` batches at most hold `limit` rows together; none of those
+    rows is older than the oldest row passed on the way, so batches that end before it are left out. The join with the
+    index prunes the folders of the history at run time. Every batch must have an entry (see `index_history`).
+    """
+    index = spark.read.schema(_SPANS).parquet(f"{path.rstrip('/')}/{BATCH_INDEX}")
+    history = read_history(spark, path, schema)
+    latest = index.where("n_rows > 0").orderBy(F.col("oldest").desc()).limit(limit).select("oldest", "n_rows").collect()
+    held, bound = 0, None
+    for span in latest:
+        held += span.n_rows
+        if held >= limit:
+            bound = span.oldest
+            break
+    if bound is None:
+        return history
+    wanted = index.where(F.col("newest") >= F.lit(bound)).select("writer", "batch_id")
+    return history.where(F.col(time) >= F.lit(bound)).join(wanted, ["writer", "batch_id"], "left_semi")
+
+
+def index_history(spark: SparkSession, path: str, schema: str, time: str = "timestamp") -> None:
+    """Enter every batch of a history written without an index, in one pass over `time`."""
+    stamp = F.col(time).cast("timestamp_ntz")
+    spans = read_history(spark, path, schema).groupBy("writer", "batch_id").agg(
+        F.min(stamp).alias("oldest"), F.max(stamp).alias("newest"), F.count(time).alias("n_rows")
+    )
+    spans.repartition("writer", "batch_id").write.partitionBy("writer", "batch_id").mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_INDEX}")
 
 
 def append_history_csv(rows: DataFrame, path: str, mode: str = "append") -> None:
@@ -48,6 +108,7 @@ def read_history(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def purge_history(spark: SparkSession, path: str, schema: str) -> None:
     """Replace the history by an empty table of the same schema."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    spark.createDataFrame([], _SPANS).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_INDEX}")
 
 
 def store_predictions(wide: DataFrame, name: str, path: str, buckets: int, on: str = "image_name") -> DataFrame:

@@ -94,7 +94,7 @@ def drain_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Run an updating aggregate over what is there and store every batch of updates."""
     query = (
         stream.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: append_history(batch, path, "counts", batch_id))
+        .foreachBatch(lambda batch, batch_id: append_history(batch, path, "counts", batch_id, time=None))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -126,6 +126,9 @@ def test_annotation_and_payload(spark):
     scored = spark.createDataFrame([("a", [(0.5, 1, 30, 9, 39)])], "filename string, detections array<struct<confidence:double,x_min:int,y_min:int,x_max:int,y_max:int>>")
     plan = PX.annotate_plan(scored).first()
     assert (plan.label, plan.label_y, plan.box_color) == ("Plate 1: 0.50", 10, "#00FF00")
+    close = [0.115, 0.125, 0.145, 0.375, 0.995, 0.5, 1.0]
+    told = PX.annotate_plan(spark.createDataFrame([([(c, 1, 2, 3, 4) for c in close],)], scored.select("detections").schema))
+    assert [r.label for r in told.orderBy("number").collect()] == [f"Plate {i}: {c:.2f}" for i, c in enumerate(close, 1)]
     images = frame_of(spark, [("a", P.encode_png(picture(40, 60)))]).join(scored, "filename")
     row = images.select(PX.paint_boxes(F.col("pixels"), F.col("detections")).alias("png")).select(
         "png", PX.base64_payload(F.col("png")).alias("b64")).first()
