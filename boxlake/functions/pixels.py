@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-import io
 import struct
 import zlib
 
 import numpy as np
 
-try:  # used for JPEG bytes held in a column; files are decoded by Spark's own image source
-    from PIL import Image as _pil
-except ImportError:  # pragma: no cover
-    _pil = None
-
 PNG_MAGIC = b"\x89PNG\r\n\x1a\n"
-# Channels per PNG colour type.
-_PNG_CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 
 # Per-channel mean and deviation of the model input.
 MEAN = (0.485, 0.456, 0.406)
@@ -30,82 +22,6 @@ def to_rgb(pixels: np.ndarray) -> np.ndarray:
     return pixels[:, :, :3]
 
 
-def decode(content: bytes) -> np.ndarray:
-    """Image bytes to RGB pixels; raises ValueError when they cannot be read."""
-    if content[:8] == PNG_MAGIC:
-        return _decode_png(content)
-    if content[:2] == b"BM":
-        return _decode_bmp(content)
-    if _pil is not None:
-        return np.asarray(_pil.open(io.BytesIO(content)).convert("RGB"))
-    raise ValueError("cannot identify image file")
-
-
-def _decode_bmp(content: bytes) -> np.ndarray:
-    start, = struct.unpack_from("<I", content, 10)
-    width, height, _, bits, packed = struct.unpack_from("<iiHHI", content, 18)
-    if packed or bits not in (24, 32):
-        raise ValueError("unsupported bitmap")
-    stride = (width * bits // 8 + 3) // 4 * 4
-    rows = np.frombuffer(content, np.uint8, stride * abs(height), start).reshape(abs(height), stride)
-    pixels = rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[:, :, 2::-1]
-    return pixels[::-1] if height > 0 else pixels
-
-
-def _decode_png(content: bytes) -> np.ndarray:
-    at, data, palette, header = 8, [], None, None
-    while at + 8 <= len(content):
-        size, kind = struct.unpack_from(">I4s", content, at)
-        body = content[at + 8 : at + 8 + size]
-        if kind == b"IHDR":
-            header = struct.unpack(">IIBBBBB", body)
-        elif kind == b"PLTE":
-            palette = np.frombuffer(body, np.uint8).reshape(-1, 3)
-        elif kind == b"IDAT":
-            data.append(body)
-        at += size + 12
-    if header is None:
-        raise ValueError("png without header")
-    width, height, depth, colour, _, _, interlaced = header
-    if depth != 8 or interlaced:
-        raise ValueError("unsupported png")
-    channels = _PNG_CHANNELS[colour]
-    try:
-        raw = np.frombuffer(zlib.decompress(b"".join(data)), np.uint8)
-        lines = raw.reshape(height, width * channels + 1)
-    except (zlib.error, ValueError) as e:
-        raise ValueError("broken png data") from e
-    pixels = _unfilter(lines, channels).reshape(height, width, channels)
-    return palette[pixels[:, :, 0]] if colour == 3 else to_rgb(pixels)
-
-
-def _unfilter(lines: np.ndarray, step: int) -> np.ndarray:
-    """Undo the five row filters of PNG."""
-    out = np.zeros((lines.shape[0], lines.shape[1] - 1), np.uint8)
-    above = np.zeros(out.shape[1], np.uint8)
-    for row, line in enumerate(lines):
-        kind, values = line[0], line[1:]
-        if kind == 0:
-            current = values.copy()
-        elif kind == 1:
-            current = np.cumsum(values.reshape(-1, step), axis=0, dtype=np.uint8).ravel()
-        elif kind == 2:
-            current = values + above
-        else:
-            current = np.zeros_like(values)
-            for i in range(len(values)):
-                left = int(current[i - step]) if i >= step else 0
-                up, corner = int(above[i]), int(above[i - step]) if i >= step else 0
-                if kind == 3:
-                    guess = (left + up) // 2
-                else:
-                    far = left + up - corner
-                    guess = min((left, up, corner), key=lambda v: abs(far - v))
-                current[i] = (int(values[i]) + guess) & 0xFF
-        out[row] = above = current
-    return out
-
-
 def encode_png(pixels: np.ndarray) -> bytes:
     """RGB pixels as a lossless PNG file."""
     height, width, _ = pixels.shape

@@ -13,6 +13,8 @@ from boxlake.schema import BATCH_SIZE, BOX_FIELDS, MAX_OBJECTS
 
 # Order keys are whole numbers from 0 up to this bound.
 KEY_BOUND = 2**31 - 1
+# Width of the key ranges in which rows are numbered: 4,096 of them below the bound.
+KEYS_A_BUCKET = 2**19
 # Fixed value: multiplier of the arithmetic shuffle key.
 KEY_FACTOR = 48271
 
@@ -47,23 +49,17 @@ def name_key(name: Column, seed: int = 0) -> Column:
 
 
 def with_ordinal(
-    frame: DataFrame, key: Column, tie: Sequence[str], by: Sequence[str] = (), buckets: int = 4096
+    frame: DataFrame, key: Column, tie: Sequence[str], by: Sequence[str] = (), width: int = KEYS_A_BUCKET
 ) -> DataFrame:
     """Adds `ordinal`, 0 for the first row of each `by` group in (key, tie) order.
 
-    Rows are numbered inside buckets of the key range of their group and every bucket starts where the ones
-    before it end. A group that holds most of the table is therefore numbered by many tasks.
-    `key` must be a whole number that is spread about evenly between its extremes, as the keys above
-    and row numbers are.
+    Rows are numbered inside buckets of `width` keys and every bucket starts where the ones of its group before it end,
+    so the rows are read twice, and a group that holds most of the table is numbered by many tasks. `key` must be a
+    whole number: either one of the keys above, which spread the rows over 4,096 buckets, or a row number, of which a
+    bucket holds at most `width`. Rows of one key are numbered by one task.
     """
     by = list(by)
-    frame = frame if by else frame.withColumn("ordinal_group", F.lit(0))
-    group = by or ["ordinal_group"]
-    keyed = frame.withColumn("order_key", key)
-    extremes = keyed.groupBy(*group).agg(F.min("order_key").alias("least_key"), F.max("order_key").alias("most_key"))
-    keyed = keyed.join(extremes, group).withColumn(
-        "bucket", F.floor((F.col("order_key") - F.col("least_key")) * F.lit(buckets) / (F.col("most_key") - F.col("least_key") + 1))
-    ).drop("least_key", "most_key", "ordinal_group")
+    keyed = frame.withColumn("order_key", key).withColumn("bucket", F.floor(F.col("order_key") / F.lit(width)))
     before = W.partitionBy(*by).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         keyed.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("held"))

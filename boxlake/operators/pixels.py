@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.functions import pixels as P
+from boxlake.functions.paths import last_element, plain_path
 from boxlake.schema import IMAGE_SIZE, LETTERBOX, PIXELS
+from boxlake.session import scratch_dir, written
+from boxlake.sources.sinks import write_artifact_files
 
 # Colour and width of painted boxes, height of the label above a box.
 BOX_COLOUR = (0, 255, 0)
 BOX_WIDTH = 3
 LABEL_RISE = 20
+UNREADABLE = "cannot identify image file"
 
 _PIXELS_ARROW = pa.struct([
     ("width", pa.int32()), ("height", pa.int32()), ("rgb", pa.binary()), ("error", pa.string())
@@ -41,8 +45,8 @@ def _pixel_item(pixels: np.ndarray) -> dict:
     return {"width": width, "height": height, "rgb": np.ascontiguousarray(pixels).tobytes(), "error": None}
 
 
-def _failed(error: Exception | str) -> dict:
-    return {"width": None, "height": None, "rgb": None, "error": str(error)}
+def _failed(error: str) -> dict:
+    return {"width": None, "height": None, "rgb": None, "error": error}
 
 
 def _once(udf):
@@ -50,19 +54,32 @@ def _once(udf):
     return udf.asNondeterministic()
 
 
-def decode_rgb(content: Column) -> Column:
-    """Image bytes to a struct of width, height, rgb and error; a bad image is a row, not a failed job."""
-    @F.arrow_udf(PIXELS)
-    def run(batch: pa.Array) -> pa.Array:
-        def one(cell: pa.Scalar) -> dict:
-            try:
-                return _pixel_item(P.decode(cell.as_py() or b""))
-            except Exception as e:  # any broken file is data here
-                return _failed(e)
-
-        return pa.array([one(c) for c in batch], _PIXELS_ARROW)
+def decode_rgb(rows: DataFrame, content: str = "content", into: str = "pixels") -> DataFrame:
+    """Rows with a column of image bytes plus a struct of width, height, rgb and error; a bad image is a row, not a failed job.
 
-    return _once(run)(content)
+    Spark's `image` source decodes, and reads files only: the rows are written once, their bytes are staged as files in
+    the shared folder, each content once under its digest, and the pixels meet the rows again by digest. The names
+    of the staged files lie on the driver, as those of any folder Spark reads; files that are already stored are better read
+    with `scan_image_pixels` or `scan_inbox_pixels`. Null and unreadable bytes give an error, equal bytes are decoded
+    once, a column called `into` is replaced, and an empty table gives no rows. All runs when the function is called.
+    """
+    spark, name = rows.sparkSession, "__image_file"
+    held = written(rows.drop(into).withColumn(name, F.sha2(content, 256)), "encoded")
+    folder = scratch_dir(spark, "images")
+    staged = held.where(F.col(content).isNotNull()).dropDuplicates([name]).select(
+        F.concat(F.substring(name, 1, 2), F.lit("/"), name).alias("path"), F.col(content).alias("content")
+    )
+    failed = F.struct(
+        *[F.lit(None).cast(kind).alias(field) for field, kind in (("width", "int"), ("height", "int"), ("rgb", "binary"))],
+        F.lit(UNREADABLE).alias("error"),
+    )
+    if not write_artifact_files(staged, folder):
+        return held.drop(name).withColumn(into, failed)
+    found = spark.read.format("image").option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).load(folder)
+    decoded = found.select(
+        last_element(plain_path(F.col("image.origin"))).alias(name), pixels_of_image_source(F.col("image")).alias(into)
+    )
+    return held.join(decoded, name, "left").drop(name).withColumn(into, F.coalesce(F.col(into), failed))
 
 
 def pixels_of_image_source(image: Column) -> Column:
@@ -72,7 +89,7 @@ def pixels_of_image_source(image: Column) -> Column:
         out = []
         for w, h, c, cell in zip(width.to_pylist(), height.to_pylist(), channels.to_pylist(), data):
             if w is None or w <= 0 or h <= 0:
-                out.append(_failed("cannot identify image file"))
+                out.append(_failed(UNREADABLE))
                 continue
             cells = np.frombuffer(cell.as_py(), np.uint8).reshape(h, w, c)
             out.append(_pixel_item(P.to_rgb(cells) if c < 3 else cells[:, :, 2::-1]))

@@ -1112,7 +1112,7 @@ SIZES = "(select vec_id, 8 * (vec_id % 5 + 2) as width, 8 * (vec_id % 3 + 2) as
 
 
 def _decoded(spark, d) -> DataFrame:
-    return X.image_files(spark, d).withColumn("pixels", PX.decode_rgb(F.col("content"))).drop("content")
+    return PX.decode_rgb(X.image_files(spark, d)).drop("content")
 
 
 @query("decode_rgb", f"""
@@ -1147,7 +1147,7 @@ RGB_SQL = "red || green || '00'"
 
 
 def _painted(spark, d) -> DataFrame:
-    return X.marked_files(spark, d).withColumn("pixels", PX.decode_rgb(F.col("content"))).drop("content")
+    return PX.decode_rgb(X.marked_files(spark, d)).drop("content")
 
 
 @query("letterbox_resize", f"select filename, scale, pad_x, pad_y, sha256(from_hex({_canvas_sql(RGB_SQL, 3)})) as image_sha256 from {PAINTED_SQL}")
@@ -1303,7 +1303,7 @@ def _results(spark, d, threshold: float = 0.5) -> DataFrame:
 
 def _marked(spark, d, **options) -> DataFrame:
     """Result rows of the images whose colour names their one box."""
-    decoded = X.marked_files(spark, d).withColumn("pixels", PX.decode_rgb(F.col("content"))).drop("content")
+    decoded = PX.decode_rgb(X.marked_files(spark, d)).drop("content")
     return S.run_scoring(decoded, make_marked, run="run_1", score_threshold=0.5, **options)
 
 
@@ -1320,13 +1320,13 @@ FOUND = ("confidence", "x_min", "y_min", "x_max", "y_max")
 
 @query("score_images", f"select filename, {', '.join(FOUND)} from {MARKED_SQL}")
 def _(spark, d):
-    decoded = X.marked_files(spark, d).withColumn("pixels", PX.decode_rgb(F.col("content"))).drop("content")
+    decoded = PX.decode_rgb(X.marked_files(spark, d)).drop("content")
     scored = S.score_images(decoded, make_marked, 0.5)
     return rounded(H.explode_detections(scored.select("filename", "detections")), 6, "confidence").fillna(-1)
 
 
 @query("run_scoring", f"""
-select filename, case when broken then 'error: broken png data' else 'success' end as status, not broken as success,
+select filename, case when broken then 'error: cannot identify image file' else 'success' end as status, not broken as success,
  case when broken then 0 else 1 end::int as nb_plates, 'run_1' as run_id, confidence as score, {', '.join(FOUND)} from {MARKED_SQL}""")
 def _(spark, d):
     rows = _marked(spark, d).select("filename", "status", "success", "nb_plates", "run_id", F.get("scores", F.lit(0)).alias("score"), "detections")
@@ -1334,14 +1334,14 @@ def _(spark, d):
 
 
 @query("result_rows", f"""
-select concat('vec_', cast(vec_id as string), '.png') as filename, case when broken then 'error: broken png data' else 'success' end as status,
+select concat('vec_', cast(vec_id as string), '.png') as filename, case when broken then 'error: cannot identify image file' else 'success' end as status,
  not broken as success, 'run_1' as run_id from {SIZES}""")
 def _(spark, d):
     return _results(spark, d).select("filename", "status", "success", "run_id")
 
 
 @query("capture_errors", f"""
-select concat('vec_', cast(vec_id as string), '.png') as filename, 'broken png data' as error, 0 as nb_plates from {SIZES} where broken""")
+select concat('vec_', cast(vec_id as string), '.png') as filename, 'cannot identify image file' as error, 0 as nb_plates from {SIZES} where broken""")
 def _(spark, d):
     return _results(spark, d).where(~F.col("success")).select("filename", "error", "nb_plates")
 

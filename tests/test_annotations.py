@@ -115,6 +115,16 @@ def test_ordinals_with_equal_keys(spark):
     assert [r.image_name for r in got] == [f"i{i:03d}" for i in range(100)]
 
 
+def test_ordinals_across_buckets_take_two_reads(spark):
+    frame = spark.range(1000).select(F.col("id"), (F.col("id") % 3).alias("g"), F.col("id").cast("string").alias("image_name"))
+    numbered = B.with_ordinal(frame, (F.col("id") * 37) % 1009, ["image_name"], by=["g"], width=16)
+    for g in range(3):
+        got = [r.id for r in numbered.where(f"g = {g}").orderBy("ordinal").collect()]
+        assert got == sorted(range(g, 1000, 3), key=lambda i: i * 37 % 1009)
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 2
+
+
 def test_sample_of_fewer(spark):
     frame = spark.createDataFrame([("a",), ("b",)], "image_name string")
     assert B.sample_images(frame, B.name_key(F.col("image_name"), 3)).count() == 2
