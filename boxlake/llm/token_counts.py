@@ -7,7 +7,9 @@ array in which node i is the sum of nodes 2i and 2i + 1, and node 1 the count of
 
 An edit replaces the code points from start to stop. Only the leaves it touches are encoded again, and a neighbour
 joins them while the border between the two is no longer such a place (the boundary context). The new text goes into
-the same leaf slots, so a changed leaf updates the sums on its way to the root alone.
+the same leaf slots, so a changed leaf updates the sums on its way to the root alone. Text that has grown beyond its slots
+is split into new leaves of at least LEAF_CHARS, and the tree is summed anew from the counts of all leaves; nothing else is
+encoded again. However many edits meet at one place, a leaf stays below twice LEAF_CHARS plus the way to the next cut.
 
 Edits refer to the text before any of them. Defined results: edits with a null field or start > stop are rejected, ends beyond
 the text are clipped; of edits that overlap the one that starts first stays (ties: the shorter, then by text), the
@@ -95,8 +97,17 @@ def accepted(edits, size: int) -> tuple[list[tuple[int, int, str]], int]:
     return kept, len(edits) - len(kept)
 
 
+def grown_leaves(text: str, leaf_chars: int = LEAF_CHARS) -> list[int]:
+    """Lengths of the leaves of edited text: as `cut_leaves`, but a short last leaf stays with the one before it."""
+    sizes = cut_leaves(text, leaf_chars)
+    if len(sizes) > 1 and sizes[-1] < leaf_chars:
+        sizes[-2:] = [sizes[-2] + sizes[-1]]
+    return sizes
+
+
 def apply_edits(text: str, leaves: np.ndarray, tree: np.ndarray, edits: list[tuple[int, int, str]], count, leaf_chars: int = LEAF_CHARS):
-    """(new text, number of leaves encoded again); leaves and tree are changed in place."""
+    """(new text, leaves, tree, number of old leaves encoded again)."""
+    leaves, tree = leaves.copy(), tree.copy()
     n = len(leaves)
     ends = np.cumsum(leaves)
     begins = ends - leaves
@@ -132,24 +143,34 @@ def apply_edits(text: str, leaves: np.ndarray, tree: np.ndarray, edits: list[tup
             regions.append((first, last, start, end, new))
         if not grown:
             break
-    out, at, slots = [], 0, len(tree) // 2
+    out, at, slots, grown = [], 0, len(tree) // 2, {}
     for first, last, start, end, new in regions:
-        room = last - first + 1
-        sizes = cut_leaves(new, leaf_chars)
-        sizes = sizes[:room - 1] + [sum(sizes[room - 1:])] if len(sizes) > room else sizes + [0] * (room - len(sizes))
-        cursor = 0
-        for i, size in zip(range(first, last + 1), sizes):
-            leaves[i] = size
-            tree[slots + i] = count(new[cursor:cursor + size])
+        sizes, counts, cursor = grown_leaves(new, leaf_chars), [], 0
+        for size in sizes:
+            counts.append(count(new[cursor:cursor + size]))
             cursor += size
+        out += [text[at:start], new]
+        at = end
+        spare = last - first + 1 - len(sizes)
+        if spare < 0:
+            grown[first] = sizes, counts
+            leaves[first:last + 1] = 0
+            continue
+        leaves[first:last + 1] = sizes + [0] * spare
+        tree[slots + first:slots + last + 1] = counts + [0] * spare
         low, high = (slots + first) // 2, (slots + last) // 2
         while low:
             for node in range(low, high + 1):
                 tree[node] = tree[2 * node] + tree[2 * node + 1]
             low, high = low // 2, high // 2
-        out += [text[at:start], new]
-        at = end
-    return "".join(out) + text[at:], int(touched.sum())
+    if grown:
+        sizes, counts = [], []
+        for i in range(n):
+            more, their = grown.get(i, ([leaves[i]], [tree[slots + i]]) if leaves[i] else ([], []))
+            sizes += more
+            counts += their
+        leaves, tree = np.array(sizes, np.int64), build_tree(counts)
+    return "".join(out) + text[at:], leaves, tree, int(touched.sum())
 
 
 # ---------------------------------------------------------------- Spark
@@ -213,7 +234,9 @@ def update_counts(rows: DataFrame, edits: str = "edits", text: str = "text", ran
         value = row[text] or ""
         leaves, tree = np.array(row["leaf_chars"], np.int64), np.array(row["tree"], np.int64)
         kept, rejected = accepted(row[edits] or [], len(value))
-        new, again = apply_edits(value, leaves, tree, kept, lambda s: len(tool.encode_ordinary(s)), leaf_chars) if kept else (value, 0)
+        new, again = value, 0
+        if kept:
+            new, leaves, tree, again = apply_edits(value, leaves, tree, kept, lambda s: len(tool.encode_ordinary(s)), leaf_chars)
         return new, int(tree[1]), leaves.tolist(), tree.tolist(), len(kept), rejected, again
 
     long = T.LongType()

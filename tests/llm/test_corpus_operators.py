@@ -382,8 +382,32 @@ def test_random_edits():
             edits = [{"start": a, "stop": a + draw.choice([0, 1, 30]), "text": draw.choice(parts) * draw.choice([0, 1, 9])}
                      for a in (draw.randint(0, len(text) + 2) for _ in range(3))]
             kept, _ = token_counts.accepted(edits, len(text))
-            text, _ = token_counts.apply_edits(text, leaves, tree, kept, count, 8)
-            assert tree[1] == count(text)
+            text, leaves, tree, _ = token_counts.apply_edits(text, leaves, tree, kept, count, 8)
+            assert tree[1] == count(text) and leaves.sum() == len(text)
+            assert (tree == token_counts.build_tree(tree[len(tree) // 2:].tolist())).all()
+
+
+@pytest.mark.parametrize("place", [0, 700, 100_000])
+def test_a_chain_of_edits_at_one_place_encodes_little_again(place):
+    with open(f"{token_counts.TOKENIZERS}/{token_counts.RANKS}", "rb") as ranks:
+        tool = token_counts.encoding(ranks.read())
+    encoded = []
+
+    def count(text):
+        encoded.append(len(text))
+        return len(tool.encode_ordinary(text))
+
+    text = " some words" * 100
+    leaves = token_counts.cut_leaves(text, 64)
+    ends = np.cumsum(leaves)
+    tree, leaves = token_counts.build_tree([count(text[e - n:e]) for e, n in zip(ends, leaves)]), np.array(leaves, np.int64)
+    for step in range(1000):
+        encoded.clear()
+        at = min(place, len(text))
+        text, leaves, tree, _ = token_counts.apply_edits(text, leaves, tree, [(at, at, f" word{step} and")], count, 64)
+        assert sum(encoded) <= 600
+    assert tree[1] == len(tool.encode_ordinary(text)) and leaves.sum() == len(text)
+    assert leaves.max() < 160 and len(leaves) < len(text) / 32
 
 
 # ---------------------------------------------------------------- 8 substring dedup
