@@ -19,9 +19,13 @@ def op1_sentencepiece_encode_decode(spark: SparkSession, sf_dir: str) -> DataFra
     return sentencepiece_fst.encode_and_decode(documents(spark, sf_dir))
 
 
+#: Small enough that the query splits to uneven depths on tables of every size.
+OP2_SHARD_BYTES = 32 << 10
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", sharding.text_bytes().alias("n_bytes"))
-    return sharding.assign(docs)
+    return sharding.assign(docs, shard_bytes=OP2_SHARD_BYTES)
 
 
 OP2_SQL = f"""
@@ -34,7 +38,7 @@ with rows as (
     from rows, unnest(range(0, 61)) as depths(depth) window w as (partition by depth, substr(bits, 1, depth))
 )
 select doc_id, n_bytes, shard, depth, shard_bytes, shard_rows
-from nodes where shard_bytes <= {sharding.SHARD_BYTES} or shard_rows = 1
+from nodes where shard_bytes <= {OP2_SHARD_BYTES} or shard_rows = 1
 qualify row_number() over (partition by row order by depth) = 1
 """
 
