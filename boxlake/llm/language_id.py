@@ -4,12 +4,12 @@ Every language has a tree of byte contexts of up to ORDER bytes with the counts
 -log2(c / (n + d)) bits in a context that has seen it c times among n bytes of d kinds; else it pays the escape
 -log2(d / (n + d)) and is coded in the context one byte shorter, down to eight bits for any byte (escape method C, no
 exclusions). Counts are frozen after fitting, so the cost of a byte is a fixed function of its context: the trees of
-all languages are merged into one with a table of costs, and whole texts are scored by walking it for all positions at
-once. The language with the fewest bits wins; the score is its share under equal priors. Bytes A-Z count as a-z.
+all languages are merged into one, in which every byte that some language has seen in a context has a row of costs, and
+whole texts are scored by walking it for all positions at once; a byte without a row pays the escapes on its way down. The language with the fewest bits wins; the score is its share under equal priors. Bytes A-Z count as a-z.
 
 Counts come from a sample of labelled rows: about SAMPLE_DOCS whole documents of each language, drawn by a hash of
-their key. Contexts enter the tree by frequency until the table has TABLE_BYTES. Both bounds are parameters, so the
-collected counts and the model that is sent to the workers are bounded however large the corpus is.
+their key. The bound is a parameter; all contexts of the sample enter the tree, none is dropped, so the collected counts and
+the model that is sent to the workers grow with the sample and not with the corpus.
 
 Defined results: null text and text without a letter give `und`, score 0 and no bits; so does everything if there is no
 labelled row; ties go to the language that sorts first; repeated rows get equal results; an empty table gives no rows.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow
 
-ORDER, SAMPLE_DOCS, TABLE_BYTES = 3, 2000, 16 << 20
+ORDER, SAMPLE_DOCS = 3, 2000
 UNKNOWN = "und"
 _CHUNK, ROWS_AT_ONCE = 1 << 18, 512
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -77,57 +77,69 @@ def gram_counts(sample: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 class Model:
-    """Merged context tree: `step` walks it, `cost` holds the bits of every next byte in every language."""
+    """Merged context tree: `step` walks it by the bytes before a position, `row` finds the costs of the next byte.
 
-    def __init__(self, counts, order: int = ORDER, table_bytes: int = TABLE_BYTES):
+    `cost` holds a row per (context, byte) of the sample with the bits in every language, `escape` the bits for leaving a
+    context, `shorter` the context without its first byte. Dense are only `step` and `row`, four bytes each per context and
+    byte value, whatever the number of languages.
+    """
+
+    def __init__(self, counts, order: int = ORDER):
         self.order = order
         self.langs = sorted(set(counts["lang"]))
-        at_lang = {lang: i for i, lang in enumerate(self.langs)}
-        lang = counts["lang"].map(at_lang).to_numpy()
-        size, gram, n = (counts[c].to_numpy() for c in ("size", "gram", "n"))
+        kinds = len(self.langs)
+        lang = counts["lang"].map({name: i for i, name in enumerate(self.langs)}).to_numpy()
+        size, gram, n = (counts[c].to_numpy().astype(np.int64) for c in ("size", "gram", "n"))
         seen = np.unique(gram[size == 1])
         self.symbol = np.zeros(256, np.int64)
         self.symbol[seen] = np.arange(1, len(seen) + 1)
         self.symbol[65:91] = self.symbol[97:123]
-        width, kinds = len(seen) + 1, len(self.langs)
-
-        totals = {}
-        for s, g, c in zip(size.tolist(), (gram >> 8).tolist(), n.tolist()):
-            totals[s - 1, g] = totals.get((s - 1, g), 0) + c
-        room = max(1, table_bytes // (width * kinds * 4))
-        ranked = sorted(totals, key=lambda node: (-totals[node], node[0], node[1]))[:room]
-        nodes = {node: i for i, node in enumerate(sorted(ranked))}
-        table = np.zeros((len(nodes), width, kinds))
-        for l, s, g, c in zip(lang.tolist(), size.tolist(), gram.tolist(), n.tolist()):
-            node = nodes.get((s - 1, g >> 8))
-            if node is not None:
-                table[node, self.symbol[g & 255], l] += c
-
-        cost = np.empty(table.shape, np.float32)
-        step = np.tile(np.arange(len(nodes), 2 * len(nodes), dtype=np.int32)[:, None], (2, width))
-        for (length, context), node in nodes.items():
-            shorter = nodes.get((length - 1, context & ((1 << 8 * (length - 1)) - 1))) if length else None
-            lower = cost[shorter] if shorter is not None else np.full((width, kinds), 8.0)
-            c = table[node]
-            total, distinct = c.sum(0), (c > 0).sum(0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escape = np.where(total > 0, np.log2(total + distinct) - np.log2(distinct), 0.0)
-                cost[node] = np.where(c > 0, np.log2(total + distinct) - np.log2(c), escape + lower)
-            if shorter is not None:
-                step[shorter, self.symbol[context >> 8 * (length - 1)]] = node
-        self.cost, self.step, self.width, self.nodes = cost.reshape(-1, kinds), step.reshape(-1), width, len(nodes)
+        self.width = width = len(seen) + 1
+        self.chunk = max(4096, 4 * _CHUNK // max(4, kinds))
+
+        # contexts by length, then value; that of every gram without its first byte is among them
+        names, node = np.unique((size - 1) << 56 | gram >> 8, return_inverse=True)
+        length, context = names >> 56, names & ((1 << 56) - 1)
+        nodes = self.nodes = len(names)
+        tail = context & ((1 << 8 * np.maximum(length - 1, 0)) - 1)
+        self.shorter = np.where(length > 0, np.searchsorted(names, (np.maximum(length, 1) - 1) << 56 | tail), -1)
+        step = np.tile(np.arange(nodes, 2 * nodes, dtype=np.int32)[:, None], (2, width))
+        deep = np.flatnonzero(length > 0)
+        step[self.shorter[deep], self.symbol[context[deep] >> 8 * (length[deep] - 1)]] = deep
+        self.step = step.reshape(-1)
+
+        cells, at = np.unique(node * width + self.symbol[gram & 255], return_inverse=True)
+        self.row = np.full(nodes * width, -1, np.int32)
+        self.row[cells] = np.arange(len(cells))
+        count = np.zeros((len(cells), kinds))
+        np.add.at(count, (at, lang), n)
+        held = cells // width
+        total, distinct = np.zeros((nodes, kinds)), np.zeros((nodes, kinds))
+        np.add.at(total, held, count)
+        np.add.at(distinct, held, count > 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            escape = np.where(total > 0, np.log2(total + distinct) - np.log2(distinct), 0.0)
+            own = np.log2(total + distinct)[held] - np.log2(count)
+        cost = np.empty((len(cells), kinds))
+        for level in range(order + 1):
+            some = np.flatnonzero(length[held] == level)
+            lower = 8.0
+            if level:
+                lower = cost[self.row[self.shorter[held[some]] * width + cells[some] % width]]
+            cost[some] = np.where(count[some] > 0, own[some], escape[held[some]] + lower)
+        self.cost, self.escape = cost.astype(np.float32), escape.astype(np.float32)
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of every text in every language."""
         total, some, size = np.zeros((len(texts), len(self.langs))), [], 0
         for i, text in enumerate(texts):
-            for at in range(0, len(text), _CHUNK):
+            for at in range(0, len(text), self.chunk):
                 before = (b" " * self.order + text[max(0, at - self.order):at])[-self.order:]
-                some.append((i, before + text[at:at + _CHUNK]))
+                some.append((i, before + text[at:at + self.chunk]))
                 size += len(some[-1][1])
-            if size >= _CHUNK:
-                self._add(total, some)
-                some, size = [], 0
+                if size >= self.chunk:
+                    self._add(total, some)
+                    some, size = [], 0
         self._add(total, some)
         return total
 
@@ -139,7 +151,21 @@ class Model:
         state = np.zeros(len(here), np.int64)
         for back in range(1, self.order + 1):
             state = self.step[state * self.width + symbols[self.order - back:len(symbols) - back]].astype(np.int64)
-        cost = self.cost[state % self.nodes * self.width + here]
+        state %= self.nodes
+        row = self.row[state * self.width + here]
+        cost = self.cost[row]
+        left = np.flatnonzero(row < 0)
+        cost[left] = 0
+        state = state[left]
+        while len(left):
+            cost[left] += self.escape[state]
+            state = self.shorter[state]
+            cost[left[state < 0]] += 8
+            left, state = left[state >= 0], state[state >= 0]
+            row = self.row[state * self.width + here[left]]
+            found = row >= 0
+            cost[left[found]] += self.cost[row[found]]
+            left, state = left[~found], state[~found]
         ends = np.cumsum([len(p) for _, p in parts])
         starts = np.concatenate([[0], ends[:-1]])
         # positions that belong to the space before the next text carry no cost
@@ -149,10 +175,10 @@ class Model:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER,
-        sample_docs: int = SAMPLE_DOCS, table_bytes: int = TABLE_BYTES) -> Model | None:
+        sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """The model of the labelled rows of docs, or None if there are none."""
     counts = gram_counts(labelled_sample(docs, key, text, lang, sample_docs), order).toPandas()
-    return Model(counts, order, table_bytes) if len(counts) else None
+    return Model(counts, order) if len(counts) else None
 
 
 def has_letter(text: str) -> Column:

@@ -175,10 +175,21 @@ def test_code_lengths_are_those_of_the_definition(spark):
         padded = b"  " + text.lower()
         return sum(cost(padded[max(0, i - 2):i], padded[i]) for i in range(2, len(padded)))
 
-    for text in (b"abcab", b"zab", b"B", "é".encode(), b"cba bcd" * 9):
+    for text in (b"abcab", b"zab", b"B", "é".encode(), b"cba bcd" * 9, b"abcab abd bbca" * 700):
         assert model.bits([text])[0] == pytest.approx([bits("aa", text), bits("bb", text)], rel=1e-5)
 
 
+def test_every_context_of_a_rare_language_is_kept(spark):
+    """Many languages, one of them in a single short text: its own contexts still decide."""
+    common = [(f"l{i:02d}", bytearray("".join(chr(97 + (j * j + i * j) % 26) for j in range(400)).encode())) for i in range(40)]
+    rare = bytearray("жук ёж щи".encode())
+    model = language_id.Model(language_id.gram_counts(spark.createDataFrame([*common, ("zz", rare)], "lang string, text binary")).toPandas())
+    grams = {bytes(b"   " + text)[i:i + 3] for _, text in [*common, ("zz", rare)] for i in range(len(text))}
+    assert model.nodes > len(grams) and model.langs[int(model.bits([bytes(rare)])[0].argmin())] == "zz"
+    long = bytes(rare) * 3000
+    assert model.bits([long, b"abc", long])[2] == pytest.approx(model.bits([long])[0], rel=1e-9)
+
+
 # ---------------------------------------------------------------- 4 SimHash
 
 
