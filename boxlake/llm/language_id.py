@@ -103,10 +103,9 @@ class Model:
         nodes = self.nodes = len(names)
         tail = context & ((1 << 8 * np.maximum(length - 1, 0)) - 1)
         self.shorter = np.where(length > 0, np.searchsorted(names, (np.maximum(length, 1) - 1) << 56 | tail), -1)
-        step = np.tile(np.arange(nodes, 2 * nodes, dtype=np.int32)[:, None], (2, width))
+        self.step = np.full(nodes * width, -1, np.int32)
         deep = np.flatnonzero(length > 0)
-        step[self.shorter[deep], self.symbol[context[deep] >> 8 * (length[deep] - 1)]] = deep
-        self.step = step.reshape(-1)
+        self.step[self.shorter[deep] * width + self.symbol[context[deep] >> 8 * (length[deep] - 1)]] = deep
 
         cells, at = np.unique(node * width + self.symbol[gram & 255], return_inverse=True)
         self.row = np.full(nodes * width, -1, np.int32)
@@ -148,10 +147,12 @@ class Model:
             return
         symbols = self.symbol[np.frombuffer(b"".join(p for _, p in parts), np.uint8)]
         here = symbols[self.order:]
-        state = np.zeros(len(here), np.int64)
+        state, growing = np.zeros(len(here), np.int64), np.arange(len(here))
         for back in range(1, self.order + 1):
-            state = self.step[state * self.width + symbols[self.order - back:len(symbols) - back]].astype(np.int64)
-        state %= self.nodes
+            longer = self.step[state[growing] * self.width + symbols[growing + self.order - back]]
+            known = longer >= 0
+            growing = growing[known]
+            state[growing] = longer[known]
         row = self.row[state * self.width + here]
         cost = self.cost[row]
         left = np.flatnonzero(row < 0)
