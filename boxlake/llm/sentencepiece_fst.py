@@ -40,6 +40,7 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 CACHE_PARTS, CACHE_CHARS, CACHE_PAIRS, ROWS_AT_ONCE = 250_000, 48, 300_000, 128
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
+_IDS = T.ArrayType(T.IntegerType())
 
 
 # ---------------------------------------------------------------- model file
@@ -258,23 +259,22 @@ def _model_path(model: str | None) -> str:
     return model or f"{TOKENIZERS}/{MODEL}"
 
 
-def _column_by_batches(rows: DataFrame, source: str, column: str, kind: T.DataType, spark_model, convert) -> DataFrame:
-    """rows plus one column computed from another, a few rows at a time."""
-    schema = T.StructType([*rows.schema.fields, T.StructField(column, kind)])
-    at = rows.columns.index(source)
+def _by_batches(rows: DataFrame, schema: T.StructType, spark_model, convert) -> DataFrame:
+    """The columns that `convert` makes of a transducer and a batch of a few rows."""
 
     def run(batches):
         transducer = _transducer(spark_model)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                some = batch.slice(start, ROWS_AT_ONCE)
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns, convert(transducer, some.column(at))], [*some.schema.names, column]
-                )
+                yield pa.RecordBatch.from_arrays(convert(transducer, batch.slice(start, ROWS_AT_ONCE)), schema.names)
 
     return map_arrow(rows, run, schema)
 
 
+def _shared_model(spark: SparkSession, model: str | None):
+    return spark.sparkContext.broadcast(read_model(spark, _model_path(model)))
+
+
 def _encode_column(transducer: Transducer, texts: pa.Array) -> pa.Array:
     coded = [None if t is None else transducer.encode(t) for t in texts.to_pylist()]
     ends = np.cumsum([0] + [len(c or b"") // 4 for c in coded], dtype=np.int64)
@@ -290,22 +290,37 @@ def _decode_column(transducer: Transducer, ids: pa.Array) -> pa.Array:
 
 def encode(rows: DataFrame, text: str = "text", ids: str = "ids", model: str | None = None) -> DataFrame:
     """rows plus the piece ids of a text column."""
-    spark = rows.sparkSession
-    data = spark.sparkContext.broadcast(read_model(spark, _model_path(model)))
-    return _column_by_batches(rows, text, ids, T.ArrayType(T.IntegerType()), data, _encode_column)
+    schema = T.StructType([*rows.schema.fields, T.StructField(ids, _IDS)])
+    at = rows.columns.index(text)
+    return _by_batches(
+        rows, schema, _shared_model(rows.sparkSession, model),
+        lambda transducer, some: [*some.columns, _encode_column(transducer, some.column(at))],
+    )
 
 
 def decode(rows: DataFrame, ids: str = "ids", text: str = "decoded", model: str | None = None) -> DataFrame:
     """rows plus the text of a column of piece ids."""
-    spark = rows.sparkSession
-    data = spark.sparkContext.broadcast(read_model(spark, _model_path(model)))
-    return _column_by_batches(rows, ids, text, T.StringType(), data, _decode_column)
+    schema = T.StructType([*rows.schema.fields, T.StructField(text, T.StringType())])
+    at = rows.columns.index(ids)
+    return _by_batches(
+        rows, schema, _shared_model(rows.sparkSession, model),
+        lambda transducer, some: [*some.columns, _decode_column(transducer, some.column(at))],
+    )
 
 
 def encode_and_decode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
-    """key, ids, n_ids and decoded text of every row."""
+    """key, ids, n_ids and decoded text of every row.
+
+    Ids are decoded in the Python worker that made them: a second pass would hold another worker, with pieces of its own,
+    for every running task.
+    """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    coded = encode(rows, "text", "ids", model).select("key", "ids")
-    return decode(coded, "ids", "decoded", model).select(
+    schema = T.StructType([rows.schema["key"], T.StructField("ids", _IDS), T.StructField("decoded", T.StringType())])
+
+    def both(transducer, some):
+        ids = _encode_column(transducer, some.column(1))
+        return [some.column(0), ids, _decode_column(transducer, ids)]
+
+    return _by_batches(rows, schema, _shared_model(docs.sparkSession, model), both).select(
         F.col("key").alias(key), "ids", F.size("ids").alias("n_ids"), "decoded"
     )

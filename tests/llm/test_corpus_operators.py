@@ -76,6 +76,16 @@ def test_pieces_are_those_of_the_library(docs, none):
     assert sentencepiece_fst.encode_and_decode(none).count() == 0
 
 
+def test_ids_are_decoded_by_the_worker_that_made_them(docs):
+    """Two Python passes in a row would hold two workers, each with its own pieces, for every running task."""
+    plan = sentencepiece_fst.encode_and_decode(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    apart = sentencepiece_fst.decode(sentencepiece_fst.encode(docs.select("doc_id", "text")))
+    got = sentencepiece_fst.encode_and_decode(docs)
+    assert apart.columns == ["doc_id", "text", "ids", "decoded"]
+    assert counted((r.doc_id, str(r.ids), r.decoded) for r in got.collect()) == counted((r.doc_id, str(r.ids), r.decoded) for r in apart.collect())
+
+
 def test_path_search_on_odd_strings():
     tool = library()
     with open(f"{sentencepiece_fst.TOKENIZERS}/{sentencepiece_fst.MODEL}", "rb") as model:
