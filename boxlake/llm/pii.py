@@ -4,16 +4,19 @@ The rules find e-mail addresses, IP addresses, card numbers and phone numbers; t
 to them. High-recall generators propose spans of each kind that may overlap each other and the spans of the rules, such as
 "name (at) mail dot com", "10[.]0[.]0[.]1" or any number of 9 to 15 digits, in groups or not, as a phone number. A candidate is described by its
 format (length, digits, groups, separators) and its context (the words before and after it), never by the test a rule
-makes, and trees boosted on a bounded sample of the corpus learn which candidates look like what the rules find there.
+makes, and trees boosted on all candidates of the corpus learn which of them look like what the rules find there.
 Candidates that meet no span of the rules are counterexamples, and so are the digits of those that do, written as a
 plain row of numbers or as one number without the words before it; other numbers, dates for example, are told apart as far
 as the corpus shows them.
-A score counts if it reaches the threshold of its kind: the lowest at which the calibration half of the sample, with
+A score counts if it reaches the threshold of its kind: the lowest at which the calibration half of the corpus, with
 scores mapped to probabilities, shows PRECISION or more; a kind without such a threshold adds nothing. Added spans that
 overlap a span of the rules or a better added span go.
 
-The sample holds about SAMPLE_DOCS whole documents, drawn by a hash of their key; candidates of all whole texts are
-judged. Positions are code points, the end is exclusive.
+Fitting reads every document and draws no sample; a hash of its key puts a document into the half that grows the trees or
+the one that calibrates. Equal candidates are counted once with their number, the quantiles at which features are cut are those of all of
+them, and each level of a tree is one pass in which every task sums gradients by node, feature and bin; only these sums go
+to the driver. Gradients are summed in units of 1 / UNIT, so the model does not depend on how rows are dealt out.
+Candidates of all whole texts are judged. Positions are code points, the end is exclusive.
 
 Defined results: null and empty texts have no spans; an empty table gives no rows; repeated rows get equal spans; very
 long texts are scanned in one pass whose cost grows with their length; ties of added spans go to the earlier, then the
@@ -27,13 +30,14 @@ from bisect import bisect
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import freeze, map_arrow
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS, PRECISION, TREES, DEPTH, RATE, BINS, LEAST_EXAMPLES = 4000, 0.98, 60, 3, 0.1, 32, 20
+PRECISION, TREES, DEPTH, RATE, BINS, LEAST_EXAMPLES = 0.98, 60, 3, 0.1, 32, 20
+UNIT, ROWS_A_TASK, BATCHES_AT_ONCE = 1 << 28, 200_000, 100
 
 # ---------------------------------------------------------------- rules
 
@@ -144,84 +148,83 @@ def features(text: str, start: int, end: int) -> list[float]:
 
 
 class Trees:
-    """Gradient boosted regression trees on the logistic loss, split at quantiles of the sample.
+    """Gradient boosted regression trees on the logistic loss, split at quantiles.
 
-    Each tree sees a third of the features, drawn with a fixed seed, so that no single one decides.
+    A tree is three arrays over its nodes: the feature (-1 in a leaf), the last bin that goes left, and the value of a leaf;
+    node i has the children 2i + 1 and 2i + 2. Each tree sees a third of the features, drawn with a fixed seed, so that no
+    single one decides.
     """
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
-        binned = self._bin(x)
-        mean = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        self.base, self.trees = float(np.log(mean / (1 - mean))), []
-        score = np.full(len(y), self.base)
-        draw = np.random.default_rng(0)
-        for _ in range(TREES):
-            self.seen = draw.choice(x.shape[1], max(1, x.shape[1] // 3), replace=False)
-            p = 1 / (1 + np.exp(-score))
-            tree = self._grow(binned, y - p, p * (1 - p), np.arange(len(y)), DEPTH)
-            self.trees.append(tree)
-            score += self._tree(tree, binned)
-
-    def _bin(self, x: np.ndarray) -> np.ndarray:
+    def __init__(self, cuts: list[np.ndarray], mean: float):
+        mean = min(max(mean, 1e-3), 1 - 1e-3)
+        self.cuts, self.base, self.trees = cuts, float(np.log(mean / (1 - mean))), []
+
+    def bins(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(self.cuts)], 1)
 
-    def _grow(self, x, gradient, weight, rows, depth):
-        g, h = gradient[rows].sum(), weight[rows].sum()
+    def start(self) -> None:
+        """Add a tree that is a single open node."""
+        size = 2 ** (DEPTH + 1) - 1
+        self.trees.append((np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)))
+
+    def split(self, node: int, seen: np.ndarray, sums: np.ndarray) -> list[int]:
+        """Split a node of the last tree, or give it its value as a leaf; the children that may be split further.
+
+        `sums` holds gradients, weights and rows by feature of `seen` and bin.
+        """
+        feature, last, value = self.trees[-1]
+        (g, h), rows = sums[0, :, :2].sum(0) / UNIT, sums[0, :, 2].sum()
+        value[node] = RATE * g / (h + 1)
         best = (1e-6, None, None)
-        if depth and len(rows) >= 20:
-            for j in self.seen:
-                left_g = np.cumsum(np.bincount(x[rows, j], gradient[rows], BINS + 1))[:-1]
-                left_h = np.cumsum(np.bincount(x[rows, j], weight[rows], BINS + 1))[:-1]
+        if rows >= 20:
+            for at_seen, j in enumerate(seen):
+                left_g, left_h = (np.cumsum(sums[at_seen, :, k]) / UNIT for k in (0, 1))
                 gain = left_g**2 / (left_h + 1) + (g - left_g) ** 2 / (h - left_h + 1) - g**2 / (h + 1)
                 gain[(left_h < 1) | (h - left_h < 1)] = 0
                 at = int(gain.argmax())
                 if gain[at] > best[0]:
-                    best = (gain[at], j, at)
+                    best = (gain[at], j, at, left_g[at], left_h[at])
         if best[1] is None:
-            return float(RATE * g / (h + 1))
-        left = x[rows, best[1]] <= best[2]
-        return (best[1], best[2], self._grow(x, gradient, weight, rows[left], depth - 1),
-                self._grow(x, gradient, weight, rows[~left], depth - 1))
-
-    def _tree(self, tree, x: np.ndarray) -> np.ndarray:
-        if not isinstance(tree, tuple):
-            return np.full(len(x), tree)
-        return np.where(x[:, tree[0]] <= tree[1], self._tree(tree[2], x), self._tree(tree[3], x))
+            return []
+        feature[node], last[node] = best[1], best[2]
+        for child, gradient, weight in ((2 * node + 1, best[3], best[4]), (2 * node + 2, g - best[3], h - best[4])):
+            value[child] = RATE * gradient / (weight + 1)
+        return [child for child in (2 * node + 1, 2 * node + 2) if child < 2**DEPTH - 1]
+
+    def node(self, tree, binned: np.ndarray) -> np.ndarray:
+        """The node every row ends in."""
+        at, rows = np.zeros(len(binned), np.int64), np.arange(len(binned))
+        for _ in range(DEPTH):
+            feature = tree[0][at]
+            at = np.where(feature < 0, at, 2 * at + 1 + (binned[rows, feature] > tree[1][at]))
+        return at
+
+    def score_bins(self, binned: np.ndarray, trees=None) -> np.ndarray:
+        score = np.full(len(binned), self.base)
+        for tree in self.trees if trees is None else trees:
+            score += tree[2][self.node(tree, binned)]
+        return score
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        binned = self._bin(x)
-        return self.base + sum(self._tree(t, binned) for t in self.trees)
+        return self.score_bins(self.bins(x))
 
-
-def _calibrate(score: np.ndarray, y: np.ndarray) -> float:
-    """The lowest score from which on at least PRECISION of the candidates, ordered by score, are positive.
-
-    The threshold lies midway between that score and the next lower one, and never where a candidate is less likely
-    positive than not.
-    """
-    order = np.argsort(-score, kind="stable")
-    hits, ranked = np.cumsum(y[order]), score[order]
-    last = np.append(ranked[1:] != ranked[:-1], True)
-    good = last & (hits / np.arange(1, len(y) + 1) >= PRECISION) & (hits >= 20)
-    if not good.any():
-        return float("inf")
-    at = int(np.flatnonzero(good)[-1])
-    below = ranked[at + 1] if at + 1 < len(ranked) else ranked[at]
-    return max(0.0, float(ranked[at] + below) / 2)
+    def sums(self, seen: np.ndarray, nodes: list[int], binned: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """What `split` needs for each of some open nodes of the last tree, from some of the rows."""
+        p = 1 / (1 + np.exp(-self.score_bins(binned, self.trees[:-1])))
+        parts = np.stack([np.rint((y - p) * UNIT).astype(np.int64) * n, np.rint(p * (1 - p) * UNIT).astype(np.int64) * n, n], 1)
+        at, out = self.node(self.trees[-1], binned), np.zeros((len(nodes), len(seen), BINS, 3), np.int64)
+        for i, node in enumerate(nodes):
+            rows = np.flatnonzero(at == node)
+            for k, j in enumerate(seen):
+                np.add.at(out[i, k], binned[rows, j], parts[rows])
+        return out
 
 
 class Model:
     """Trees and threshold per kind; kinds with too few positive or negative examples add nothing."""
 
-    def __init__(self, kind: np.ndarray, half: np.ndarray, y: np.ndarray, x: np.ndarray):
-        self.by_kind = {}
-        for k in range(len(KINDS)):
-            fit, test = (kind == k) & (half == 0), (kind == k) & (half == 1)
-            if any(min(y[half].sum(), (~y[half]).sum()) < LEAST_EXAMPLES for half in (fit, test)):
-                continue
-            trees = Trees(x[fit], y[fit].astype(float))
-            self.by_kind[k] = (trees, _calibrate(trees.score(x[test]), y[test]))
+    def __init__(self, by_kind: dict[int, tuple[Trees, float]]):
+        self.by_kind = by_kind
 
     def added(self, text: str, rules: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """Spans beside those of the rules, none overlapping another."""
@@ -269,14 +272,10 @@ def _examples(text: str) -> tuple[list[int], list[bool], list[list[float]]]:
 # ---------------------------------------------------------------- Spark
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """The model of about `sample_docs` documents, or None if they hold no candidate."""
-    total = docs.count()
-    draw = F.pmod(F.xxhash64(F.lit("pii"), F.col(key).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+def _described(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(half, kind, label, x, n): every different example of the corpus and how often it is there."""
     half = F.pmod(F.xxhash64(F.lit("half"), F.col(key).cast("string")), F.lit(2)).cast("int")
-    sample = docs.where(F.col(text).isNotNull() & (draw < sample_docs / max(1, total))).select(
-        half.alias("half"), F.col(text).alias("text")
-    )
+    rows = docs.where(F.col(text).isNotNull()).select(half.alias("half"), F.col(text).alias("text"))
 
     def describe(batches):
         for batch in batches:
@@ -287,18 +286,158 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_docs: i
                 kinds += k
                 labels += y
                 rows += x
+            values = pa.array(np.array(rows, np.int32).reshape(-1), pa.int32())
+            ends = pa.array(np.arange(len(rows) + 1) * FEATURES, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(halves, pa.int32()), pa.array(kinds, pa.int32()), pa.array(labels, pa.bool_()),
-                 pa.array(rows, pa.list_(pa.float64()))],
+                 pa.ListArray.from_arrays(ends, values)],
                 names=["half", "kind", "label", "x"],
             )
 
-    got = map_arrow(sample, describe, "half int, kind int, label boolean, x array<double>").toPandas()
-    if not len(got):
+    got = map_arrow(rows, describe, "half int, kind int, label boolean, x array<int>")
+    return got.groupBy("half", "kind", "label", "x").agg(F.count("*").alias("n"))
+
+
+def _chunks(batches):
+    """(kind, label, bins, n) of a bounded number of batches at a time."""
+    held = []
+    for batch in batches:
+        held.append(batch)
+        if len(held) >= BATCHES_AT_ONCE:
+            yield _arrays(held)
+            held = []
+    if held:
+        yield _arrays(held)
+
+
+def _arrays(batches):
+    table = pa.Table.from_batches(batches)
+    bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, FEATURES)
+    return table["kind"].to_numpy(), table["label"].to_numpy().astype(float), bins, table["n"].to_numpy()
+
+
+def _binned(described: DataFrame, trees: dict[int, Trees], tasks: int) -> DataFrame:
+    """(half, kind, label, bins, n): equal rows after binning counted as one, in few partitions, for they are read many times."""
+
+    def work(batches):
+        for batch in batches:
+            kind, bins = batch.column(1).to_numpy(), np.zeros((batch.num_rows, FEATURES), np.uint8)
+            x = batch.column(3).flatten().to_numpy().reshape(-1, FEATURES)
+            for k in trees:
+                bins[kind == k] = trees[k].bins(x[kind == k])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array([row.tobytes() for row in bins], pa.binary()), batch.column(4)],
+                names=["half", "kind", "label", "bins", "n"],
+            )
+
+    rows = map_arrow(described, work, "half int, kind int, label boolean, bins binary, n bigint")
+    return rows.groupBy("half", "kind", "label", "bins").agg(F.sum("n").alias("n")).coalesce(tasks)
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """The columns of `_chunks` as bytes, a row for each chunk: the passes unpack nothing and need no plan of their own."""
+
+    def pack(batches):
+        for chunk in _chunks(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([column.tobytes()], pa.binary()) for column in chunk], names=["kind", "y", "bins", "n"]
+            )
+
+    return map_arrow(rows.select("kind", "label", "bins", "n"), pack, "kind binary, y binary, bins binary, n binary")
+
+
+def _grow(rows: DataFrame, trees: dict[int, Trees]) -> None:
+    """Boost the trees of all kinds side by side, one pass over the rows for each level."""
+    packed = freeze(_packed(rows), "pii-packed").rdd
+    draw = np.random.default_rng(0)
+    for _ in range(TREES):
+        seen = draw.choice(FEATURES, max(1, FEATURES // 3), replace=False)
+        for own in trees.values():
+            own.start()
+        nodes = {k: [0] for k in trees}
+        while nodes:
+
+            def work(chunks, nodes=nodes, seen=seen):
+                total = {}
+                for chunk in chunks:
+                    kind, y, n = (np.frombuffer(chunk[c], t) for c, t in (("kind", np.int32), ("y", float), ("n", np.int64)))
+                    bins = np.frombuffer(chunk["bins"], np.uint8).reshape(-1, FEATURES)
+                    for k in nodes:
+                        own = np.flatnonzero(kind == k)
+                        if len(own):
+                            total[k] = total.get(k, 0) + trees[k].sums(seen, nodes[k], bins[own], y[own], n[own])
+                yield from total.items()
+
+            sums = {}
+            for k, part in packed.mapPartitions(work).collect():
+                sums[k] = sums.get(k, 0) + part
+            below = {}
+            for k, own in nodes.items():
+                below[k] = [child for node, part in zip(own, sums[k]) for child in trees[k].split(node, seen, part)]
+            nodes = {k: own for k, own in below.items() if own}
+
+
+def _thresholds(rows: DataFrame, trees: dict[int, Trees]) -> dict[int, float]:
+    """By kind, the lowest score from which on at least PRECISION of the candidates, ordered by score, are positive.
+
+    The threshold lies midway between that score and the next lower one, and never where a candidate is less likely
+    positive than not. Candidates are added up inside narrow ranges of scores, then over the ranges.
+    """
+
+    def work(batches):
+        for kind, y, bins, n in _chunks(batches):
+            score = np.zeros(len(n))
+            for k in trees:
+                score[kind == k] = trees[k].score_bins(bins[kind == k])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind, pa.int32()), pa.array(score), pa.array(y.astype(np.int64) * n), pa.array(n)],
+                names=["kind", "score", "hits", "n"],
+            )
+
+    told = map_arrow(rows.select("kind", "label", "bins", "n"), work, "kind int, score double, hits bigint, n bigint")
+    told = told.groupBy("kind", "score").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
+    told = freeze(told.withColumn("range", F.floor(F.col("score") * 8)), "pii-scores")
+    higher = Window.partitionBy("kind").orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = told.groupBy("kind", "range").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).select(
+        "kind", "range", *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(f"{c}_above") for c in ("hits", "n")]
+    )
+    inside = Window.partitionBy("kind", "range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    hits, n = (F.col(f"{c}_above") + F.sum(c).over(inside) for c in ("hits", "n"))
+    ranked = told.join(ranges, ["kind", "range"]).select("kind", "score", hits.alias("hits"), n.alias("n"))
+    good = (F.col("hits") / F.col("n") >= PRECISION) & (F.col("hits") >= 20)
+    at = {r["kind"]: r["at"] for r in ranked.where(good).groupBy("kind").agg(F.min("score").alias("at")).collect()}
+    if not at:
+        return {}
+    least = F.element_at(F.create_map(*[F.lit(v) for pair in at.items() for v in pair]), F.col("kind"))
+    below = told.where(F.col("score") < least).groupBy("kind").agg(F.max("score").alias("below")).collect()
+    below = {r["kind"]: r["below"] for r in below}
+    return {k: max(0.0, (v + below.get(k, v)) / 2) for k, v in at.items()}
+
+
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model | None:
+    """The model of all candidates of docs, or None if there are none."""
+    described = freeze(_described(docs, key, text), "pii-candidates")
+    cells = described.groupBy("kind", "half", "label").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()
+    if not cells:
         return None
-    x = np.stack(got["x"].to_numpy())
-    order = np.lexsort((*x.T, got["label"], got["kind"], got["half"]))
-    return Model(*[got[c].to_numpy()[order] for c in ("kind", "half", "label")], x[order])
+    size = {(c["kind"], c["half"], c["label"]): c["n"] for c in cells}
+    kinds = [k for k in range(len(KINDS)) if all(size.get((k, h, y), 0) >= LEAST_EXAMPLES for h in (0, 1) for y in (False, True))]
+    if not kinds:
+        return Model({})
+    described = described.where(F.col("kind").isin(kinds))
+    shares = F.array(*[F.lit(float(v)) for v in np.linspace(0, 1, BINS + 1)[1:-1]])
+    cuts = described.where("half = 0").groupBy("kind").agg(
+        *[F.percentile(F.col("x")[j], shares, F.col("n")).alias(f"x{j}") for j in range(FEATURES)]
+    )
+    trees = {
+        r["kind"]: Trees([np.unique(r[f"x{j}"]) for j in range(FEATURES)], size[r["kind"], 0, True] / (size[r["kind"], 0, True] + size[r["kind"], 0, False]))
+        for r in cuts.collect()
+    }
+    tasks = 1 + sum(c["rows"] for c in cells) // ROWS_A_TASK
+    binned = freeze(_binned(described, trees, tasks), "pii-bins")
+    _grow(binned.where("half = 0"), trees)
+    threshold = _thresholds(binned.where("half = 1"), trees)
+    return Model({k: (trees[k], threshold.get(k, float("inf"))) for k in kinds})
 
 
 def find(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:

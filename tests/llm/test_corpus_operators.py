@@ -519,6 +519,26 @@ def test_trees_add_what_looks_like_the_rules(spark, none):
     assert pii.fit(empty) is None and pii.find(empty, None).count() == 0
 
 
+def test_the_model_counts_every_document(spark):
+    """A hundred documents among twenty thousand teach a kind; how the rows are dealt out changes nothing."""
+    draw = random.Random(8)
+
+    def digits(n):
+        return "".join(str(draw.randint(0, 9)) for _ in range(n))
+
+    rows = [(i, f"nothing of note in text {i}") for i in range(20_000)]
+    for i in range(0, 20_000, 200):
+        rows[i] = (i, f"the order {digits(16)} of {digits(4)}, call +1 ({digits(3)}) {digits(3)}-{digits(4)} now")
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    models = [pii.fit(frame.repartition(parts)) for parts in (1, 5)]
+    assert 3 in models[0].by_kind and models[0].by_kind[3][1] < float("inf")
+    for k, (trees, threshold) in models[0].by_kind.items():
+        other, again = models[1].by_kind[k]
+        assert threshold == again
+        for one, two in zip(trees.trees, other.trees, strict=True):
+            assert all(np.array_equal(a, b) for a, b in zip(one, two))
+
+
 def test_every_written_form_is_proposed():
     phones = ["(030) 12345678", "0171 23456789", "6145558001", "+1 614-555-8001", "614.555.8001"]
     long_name, long_host = "n" * 200 + ".x@mail.com", "me@" + "h" * 90 + ".".join("abcdefghijkl") + ".com"
