@@ -89,3 +89,39 @@ def test_crowds_are_suppressed_as_by_the_greedy_loop(spark, threshold, limit):
     for name in ("crowd", "few", "flat"):
         assert got[name] == greedy([r for r in rows if r[0] == name], threshold, limit)
     assert D.nms_any(frame.where(F.lit(False))).count() == 0
+
+
+def test_crowds_are_settled_from_the_best_boxes_on(spark, monkeypatch):
+    """Heads of a few boxes: images end in the first round, in later ones, and behind the last."""
+    monkeypatch.setattr(D, "HEAD", 12)
+    monkeypatch.setattr(D, "HEAD_ROUNDS", 2)
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(160):
+        x, y = rng.integers(0, 3, 2) / 4 + rng.random(2) * 0.03
+        rows.append(("dense" if k % 2 else "other", k, float(round(rng.random(), 2)), *map(float, (x, y, x + 0.1, y + rng.uniform(0.05, 0.12)))))
+    rows += [("few", k, 1.0 - k / 10, 0.1 * k, 0.0, 0.1 * k + 0.15, 0.1) for k in range(5)] + [("dense", 900, 0.5, 0.2, 0.2, 0.2, 0.4)]
+    frame = spark.createDataFrame(rows, "image_name string, anchor_id int, score double, x1 double, y1 double, x2 double, y2 double")
+    for limit in (4, 1000):
+        got = {}
+        for r in D.nms_any(frame, 0.4, limit).orderBy("image_name", "det_rank").collect():
+            got.setdefault(r.image_name, []).append(r.anchor_id)
+        assert got == {name: greedy([r for r in rows if r[0] == name], 0.4, limit) for name in ("dense", "other", "few")}
+
+
+def test_row_numbers_of_ranges(spark):
+    from boxlake.operators.batching import with_row_number
+
+    rows = [(k % 7, f"n{k % 5}") for k in range(60)] + [(None, "n1"), (3, None)]
+    frame = spark.createDataFrame(rows, "a int, b string")
+    got = sorted((r.row_no, r.a, r.b) for r in with_row_number(frame, ["a", "b"]).collect())
+    want = sorted(rows, key=lambda r: tuple((v is not None, v if v is not None else 0) for v in r))
+    assert [r[0] for r in got] == list(range(1, 63)) and [r[1:] for r in got] == want
+
+
+def test_scores_of_a_large_crowd(spark):
+    """Row numbers whose multiple is no 32-bit number."""
+    from boxlake import fixtures as X
+
+    at = spark.createDataFrame([("i", 0.5, 0.5, 0.1, 0.1, 271_177), ("i", 0.5, 0.5, 0.1, 0.1, 2**31 - 1)], "image_name string, cx double, cy double, w double, h double, row_no long")
+    assert [r.score for r in spark.sql(X.CROWD, numbered=at).orderBy("anchor_id").collect()] == [n * 7919 % 1009 / 1009 for n in (271_177, 2**31 - 1)]
