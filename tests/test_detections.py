@@ -173,3 +173,41 @@ def test_nearest_cell_is_the_best_anchor(spark):
 def test_make_anchors(spark):
     rows = N.make_anchors(spark).orderBy("anchor_id").select("cx", "cy", "w", "h").toPandas().to_numpy()
     assert abs(rows - GRID).max() < 1e-15
+
+
+def test_rows_made_from_dealt_images_are_not_shuffled_again(spark):
+    keys = spark.range(40).select("id", F.concat(F.lit("i"), "id").alias("image_name")).repartition(9, "image_name")
+    rows = keys.select("*", F.explode(F.sequence(F.lit(0), F.lit(30))).alias("anchor_id"))
+    x = F.pmod(F.xxhash64("image_name", "anchor_id"), F.lit(97)) / 100
+    made = rows.select("*", F.round(x, 1).alias("score"), x.alias("x1"), (x / 2).alias("y1"), (x + 0.2).alias("x2"), (x / 2 + 0.1).alias("y2"))
+    held, dealt = D.nms(made), D.nms(made.repartition(3))
+    assert sorted(map(tuple, held.collect())) == sorted(map(tuple, dealt.collect()))
+
+    def shuffles(frame):
+        return frame._jdf.queryExecution().sparkPlan().toString().count("Exchange ")
+
+    assert shuffles(held) == 1 and shuffles(dealt) > 1
+    assert shuffles(D.nms(made.select("*", F.lit("k").alias("kind")), on=["image_name", "kind"])) == 1
+    # two partitions are fewer than the cores, and rows of an image lie apart when an anchor deals them
+    for other in (keys.repartition(2, "image_name"), keys.repartition(9, "id")):
+        few = other.select("image_name", F.lit(1).alias("anchor_id"), *[F.lit(0.5).alias(c) for c in ("score", *D.CORNERS)])
+        assert shuffles(D.nms(few)) == shuffles(few) + 1
+
+
+def test_predictions_leave_in_slices(spark, monkeypatch, tmp_path):
+    """One image a slice gives the rows of one slice, and batches to Python are bounded by bytes."""
+    from boxlake import fixtures as X
+    from boxlake.session import BATCH_BYTES, BATCH_BYTES_KEY
+
+    spark.range(9).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.conf.set(BATCH_BYTES_KEY, "64m")
+    try:
+        whole = sorted(map(tuple, X.predictions_wide(spark, str(tmp_path), 5).collect()))
+        assert int(spark.conf.get(BATCH_BYTES_KEY)) == BATCH_BYTES
+        spark.conf.set(BATCH_BYTES_KEY, "1k")
+        monkeypatch.setattr(X, "BATCH_BYTES", 1)
+        assert sorted(map(tuple, X.predictions_wide(spark, str(tmp_path), 5).collect())) == whole and len(whole) == 9
+        assert spark.conf.get(BATCH_BYTES_KEY) == "1k"
+    finally:
+        spark.conf.unset(BATCH_BYTES_KEY)
+    assert [len(v) for v in whole[0][1:]] == [10, 20]

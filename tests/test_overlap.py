@@ -123,5 +123,5 @@ def test_scores_of_a_large_crowd(spark):
     """Row numbers whose multiple is no 32-bit number."""
     from boxlake import fixtures as X
 
-    at = spark.createDataFrame([("i", 0.5, 0.5, 0.1, 0.1, 271_177), ("i", 0.5, 0.5, 0.1, 0.1, 2**31 - 1)], "image_name string, cx double, cy double, w double, h double, row_no long")
-    assert [r.score for r in spark.sql(X.CROWD, numbered=at).orderBy("anchor_id").collect()] == [n * 7919 % 1009 / 1009 for n in (271_177, 2**31 - 1)]
+    at = spark.createDataFrame([("i", 0.5, 0.5, 0.1, 0.1, 271_182), ("i", 0.5, 0.5, 0.1, 0.1, 2**31 - 1)], "image_name string, cx double, cy double, w double, h double, row_no long")
+    assert [r.score for r in spark.sql(X.CROWD, numbered=at).orderBy("anchor_id").collect()] == [n * 7919 % 1009 / 1009 for n in (271_182, 2**31 - 1)]
