@@ -17,13 +17,14 @@ def target_boxes(labels: DataFrame, n: int, on=("image_name",)) -> tuple[DataFra
 
 
 def batch_losses(
-    images: DataFrame, wide: DataFrame, labels: DataFrame, key: Column, order: Column, batch_size: int = 16
+    images: DataFrame, wide: DataFrame, labels: DataFrame, key: Column, order: Column, batch_size: int = 16,
+    predict: TL.Predict | None = None,
 ) -> DataFrame:
     """Loss per split and batch of the images that have predictions, over all boxes.
 
-    For the losses of padded examples pass the first result of `target_boxes` as labels.
+    With `predict`, `wide` holds the images whose predictions it makes. For the losses of padded examples pass the first result of `target_boxes` as labels.
     """
-    per_image = TL.image_loss(wide, labels)
+    per_image = TL.image_loss(wide, labels, predict=predict)
     batches = B.make_batches(images, key, order, batch_size=batch_size).select("image_name", "split_name", "batch_id")
     joined = per_image.join(batches, "image_name")
     return TL.batch_loss(joined, ["split_name", "batch_id"])
