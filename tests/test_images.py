@@ -306,3 +306,32 @@ def test_names_and_run_ids(spark):
     frame = S.name_in_memory_batch(spark.range(2).withColumnRenamed("id", "ordinal"))
     assert [r.filename for r in frame.orderBy("ordinal").collect()] == ["img_0.jpg", "img_1.jpg"]
     assert S.run_id(datetime(2026, 3, 4, 5, 6, 7), "abcdef99") == "20260304_050607_abcdef"
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_path):
+    for k in range(40):
+        (tmp_path / f"{k}.png").write_bytes(P.encode_png(picture(2, 2, k)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+    try:
+        assert files.scan_inbox_pixels(spark, str(tmp_path)).rdd.getNumPartitions() == 4
+        assert files.scan_artifacts(spark, str(tmp_path)).rdd.getNumPartitions() == 4
+        rows = spark.createDataFrame([(k, P.encode_png(picture(2, 2, k))) for k in range(40)], "k int, content binary")
+        assert PX.decode_rgb(rows).where("pixels.width = 2").count() == 40
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_canvases_and_tensors_leave_in_slices(spark):
+    """A batch of pictures of a few bytes; every result is that of the picture beside it."""
+    import pyarrow as pa
+
+    batch = pa.array(range(1000))
+    sizes = [len(part) for part in PX._slices([batch, batch[:0], batch[:5]])]
+    assert sum(sizes) == 1005 and max(sizes) <= 16
+    rows = spark.createDataFrame([(k, bytes([k] * 12) if k % 5 else b"no picture") for k in range(60)], "k int, cells binary").coalesce(1)
+    good = F.col("k") % 5 != 0
+    pixels = F.struct(F.lit(2).alias("width"), F.lit(2).alias("height"), F.when(good, F.col("cells")).alias("rgb"), F.lit(None).cast("string").alias("error"))
+    fitted = rows.select("k", pixels.alias("pixels")).withColumn("image", PX.letterbox_resize(F.col("pixels"), 8)["image"])
+    for r in fitted.withColumn("tensor", PX.normalize_tensor(F.col("image"), 8)).collect():
+        assert r.image == (bytes([r.k]) * 192 if r.k % 5 else None)
+        assert (r.tensor is None) == (r.k % 5 == 0) and (r.k % 5 == 0 or abs(r.tensor[0] - (r.k / 255 - 0.485) / 0.229) < 1e-5)
