@@ -335,3 +335,13 @@ def test_canvases_and_tensors_leave_in_slices(spark):
     for r in fitted.withColumn("tensor", PX.normalize_tensor(F.col("image"), 8)).collect():
         assert r.image == (bytes([r.k]) * 192 if r.k % 5 else None)
         assert (r.tensor is None) == (r.k % 5 == 0) and (r.k % 5 == 0 or abs(r.tensor[0] - (r.k / 255 - 0.485) / 0.229) < 1e-5)
+
+
+def test_files_of_a_trigger_are_looked_up_by_few_tasks(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    for k in range(40):
+        (tmp_path / "in" / f"{k}.png").write_bytes(P.encode_png(picture(2, 2, k)))
+    before, seen = spark.conf.get(inbox.LISTING_KEY), []
+    monkeypatch.setattr(inbox, "append_history", lambda rows, *_: seen.append((rows.sparkSession.conf.get(inbox.LISTING_KEY), rows.count())))
+    inbox.score_inbox_stream(spark, str(tmp_path / "in"), make_stub, str(tmp_path / "out"), str(tmp_path / "state"), score_threshold=0.5).awaitTermination()
+    assert seen == [("4", 40)] and spark.conf.get(inbox.LISTING_KEY) == before
